@@ -2,11 +2,11 @@
 
 OP4 = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 g AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 links AS (
@@ -23,8 +23,8 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = w.doc_i
 
 OP5 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
@@ -33,14 +33,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 OP10 = r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
 i AS (
-  SELECT DISTINCT item_id, least(len(w), 5) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), i -> array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS g
+  SELECT DISTINCT item_id, least(len(w), 5) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS g
   FROM b WHERE len(w) > 0),
 sized AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n_item FROM i),
 d AS (
-  SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), i -> array_to_string(w[i:i + n - 1], ' '))) AS g
+  SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
   FROM w, (SELECT DISTINCT n FROM i) WHERE len(w) >= n)
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item, round(count(*) / any_value(n_item), 9) AS containment
 FROM d JOIN sized USING (n, g) GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n_item) * 0.8)
