@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ._common import id_text, parts_for, text_bytes, words
 
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 10 << 20
 
 
 class _WordKeys(dict):
