@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_text, parts_for, text_bytes, words
+from ._common import _KEPT, _RELEASE, id_text, parts_for, release, text_bytes, words
 
 BLOCK_BYTES = 10 << 20
 
@@ -34,6 +34,7 @@ class _WordKeys(dict):
 
 
 _WORD_KEYS = _WordKeys()
+_RELEASE.append(_WORD_KEYS.clear)
 
 
 def word_keys(text: str | None) -> np.ndarray:
@@ -88,6 +89,8 @@ def through_fragments(
     describe the fragment. ``finish`` a block: its table, the answers for its keys, and the fragments' numbers summed."""
 
     def up(table: pa.Table) -> pa.Table:
+        if _KEPT:
+            release()
         keys, cols = keys_of(table)
         edges = fragment_edges(keys, n)
         cut = lambda a: [a[edges[i] : edges[i + 1]].tobytes() for i in range(n)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Callable, Iterator
 
@@ -51,6 +52,27 @@ def parts_for(spark: SparkSession, volume: int, each: int) -> int:
     return max(2 * spark.sparkContext.defaultParallelism, math.ceil(volume / each))
 
 
+#: What a worker process keeps between tasks: the tables of one operator at a time.
+_KEPT: dict = {}
+_RELEASE: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Forget what other operators' tasks have kept in this process."""
+    _KEPT.clear()
+    for f in _RELEASE:
+        f()
+
+
+def kept(key, make):
+    """The object of this key, made once a worker process; one of another key is dropped first."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+        gc.freeze()  # the tables hold no cycles; without this each collection walks them
+    return _KEPT[key]
+
+
 def words(text: str | None) -> list[bytes]:
     """Words of ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z: exactly what the bytes methods do."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()

@@ -17,8 +17,6 @@ that are null are not learnt. Repeated rows are predicted one by one. An empty t
 
 from __future__ import annotations
 
-import functools
-import gc
 import math
 import re
 from array import array
@@ -27,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import per_document
+from ._common import kept, per_document
 
 TRAIN_DOCS = 300
 TRAIN_WORDS = 12_000
@@ -101,7 +99,7 @@ class SuffixAutomaton:
 class CrossParser:
     """Phrase counts of texts for each label; ``sample``: the words of each label."""
 
-    def __init__(self, sample: dict[str, list[str]], keep: int = 600_000):
+    def __init__(self, sample: dict[str, list[str]], keep: int = 400_000):
         self.labels = sorted(sample)
         self.automata = [SuffixAutomaton([f" {w} " for w in sample[x]]) for x in self.labels]
         self.weight = np.array([math.log2(a.signs + 2) for a in self.automata])
@@ -148,12 +146,9 @@ def learn_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int
     return tuple((k, tuple(sorted(v))) for k, v in sorted(out.items()))
 
 
-@functools.lru_cache(2)
 def _parser(sample: tuple) -> CrossParser:
     """One a worker process and sample, so its table serves all tasks of the process."""
-    made = CrossParser({k: list(v) for k, v in sample})
-    gc.freeze()
-    return made
+    return kept(("languages", sample), lambda: CrossParser({k: list(v) for k, v in sample}))
 
 
 def predict_languages(docs: DataFrame, sample: tuple | None = None, folds: int = FOLDS, held: int = HELD) -> DataFrame:

@@ -13,7 +13,6 @@ Null or empty text has no ids and decodes to the empty text.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 from array import array
@@ -22,7 +21,7 @@ import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from ._common import per_document
+from ._common import kept, per_document
 
 MARK = "▁"
 
@@ -30,7 +29,7 @@ MARK = "▁"
 class PieceCodec:
     """Encoder and decoder of one model file. ``keep`` bounds the word table and the pair table."""
 
-    def __init__(self, path: str, keep: int = 800_000):
+    def __init__(self, path: str, keep: int = 500_000):
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.keep, self.ids_of, self.rank = keep, {}, {}
         self.byte_ids = {}
@@ -166,15 +165,9 @@ class PieceCodec:
         return self.sp.decode(ids) if ids else ""
 
 
-_codecs: dict[str, PieceCodec] = {}
-
-
 def codec(path: str) -> PieceCodec:
     """One codec a worker process and model, so its tables serve all tasks of the process."""
-    if path not in _codecs:
-        _codecs[path] = PieceCodec(path)
-        gc.freeze()  # the tables hold no cycles; without this each collection walks them
-    return _codecs[path]
+    return kept(("pieces", path), lambda: PieceCodec(path))
 
 
 def encode_pieces(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,8 +16,6 @@ Repeated doc_ids stay next to each other, ordered by their text.
 
 from __future__ import annotations
 
-import functools
-import gc
 import re
 import struct
 import zlib
@@ -32,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ._common import id_text, parts_for, shared_folder, text_bytes
+from ._common import id_text, kept, parts_for, shared_folder, text_bytes
 
 BLOCK = 4096
 PERCENTILE = 95
@@ -168,12 +166,9 @@ class UnitEncoder:
         return b"".join([get(u) or miss(u) for u in units])
 
 
-@functools.lru_cache(1)
 def _encoder(path: str) -> UnitEncoder:
     """One a worker process, so its table serves all tasks of the process."""
-    out = UnitEncoder(path)
-    gc.freeze()
-    return out
+    return kept(("units", path), lambda: UnitEncoder(path))
 
 
 def write_token_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> None:
