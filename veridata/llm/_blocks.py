@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import _KEPT, _RELEASE, id_text, parts_for, release, text_bytes, words
+from ._common import _KEPT, _RELEASE, id_text, parts_for, release, text_bytes, trim, words
 
 BLOCK_BYTES = 10 << 20
 
@@ -55,9 +55,13 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
+    kinds = ranked[new]
+    del ranked  # a block's arrays are most of a worker's memory
+    rank = np.cumsum(new)
+    rank -= 1
     place = np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return ranked[new], place
+    place[order] = rank
+    return kinds, place
 
 
 def fragment_edges(keys: np.ndarray, fragments: int) -> np.ndarray:
@@ -74,6 +78,22 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame,
     return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block"), n
 
 
+def _trimmed(f: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``f``, after which the memory of its arrays goes back to the system."""
+
+    def one(table: pa.Table) -> pa.Table:
+        out = f(table)
+        trim()
+        return out
+
+    def two(table: pa.Table, told: pa.Table) -> pa.Table:
+        out = f(table, told)
+        trim()
+        return out
+
+    return two if f.__code__.co_argcount == 2 else one  # Spark reads the number of arguments off the function
+
+
 def through_fragments(
     rows: DataFrame,
     n: int,
@@ -114,6 +134,6 @@ def through_fragments(
         return finish(table, got, facts)
 
     binaries = lambda p, k: "".join(f", {p}{i} binary" for i in range(k))
-    sent = rows.groupBy("block").applyInArrow(up, "fragment int, block int, keys binary" + binaries("c", len(sends)))
-    told = sent.repartition(n, "fragment").groupBy("fragment").applyInArrow(across, "block int, fragment int, facts array<double>" + binaries("a", len(answers)))
-    return rows.groupBy("block").cogroup(told.repartition(n, "block").groupBy("block")).applyInArrow(down, schema)
+    sent = rows.groupBy("block").applyInArrow(_trimmed(up), "fragment int, block int, keys binary" + binaries("c", len(sends)))
+    told = sent.repartition(n, "fragment").groupBy("fragment").applyInArrow(_trimmed(across), "block int, fragment int, facts array<double>" + binaries("a", len(answers)))
+    return rows.groupBy("block").cogroup(told.repartition(n, "block").groupBy("block")).applyInArrow(_trimmed(down), schema)

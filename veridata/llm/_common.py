@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import math
 from collections.abc import Callable, Iterator
@@ -57,11 +58,23 @@ _KEPT: dict = {}
 _RELEASE: list[Callable[[], None]] = []
 
 
+#: Of the C library, where it has one.
+_MALLOC_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers are kept between tasks, and what one holds unused the others lack."""
+    pa.default_memory_pool().release_unused()
+    if _MALLOC_TRIM is not None:
+        _MALLOC_TRIM(0)
+
+
 def release() -> None:
     """Forget what other operators' tasks have kept in this process."""
     _KEPT.clear()
     for f in _RELEASE:
         f()
+    trim()
 
 
 def kept(key, make):

@@ -133,12 +133,10 @@ def _gather(docs: DataFrame, n: int, percent: int, block_bytes: int) -> DataFram
 
     def sets(table: pa.Table):
         each = [shingles(t.as_py(), n) for t in table["text"]]
-        every = np.concatenate([*each, np.empty(0, np.uint64)])
-        kinds, place = distinct(every)
-        return each, kinds, place
+        return np.concatenate([*each, np.empty(0, np.uint64)]), [len(x) for x in each]
 
     def keys_of(table: pa.Table):
-        _, kinds, place = sets(table)
+        kinds, place = distinct(sets(table)[0])
         return kinds, [np.bincount(place, minlength=len(kinds))]
 
     def combine(keys: np.ndarray, cols: list[np.ndarray]):
@@ -147,13 +145,13 @@ def _gather(docs: DataFrame, n: int, percent: int, block_bytes: int) -> DataFram
         return [np.ceil(np.log2(np.maximum(total, 1)))[place]], [0.0]
 
     def finish(table: pa.Table, told: list[np.ndarray], facts: np.ndarray) -> pa.Table:
-        each, _, place = sets(table)
-        magnitude = told[0][place]
+        every, sizes = sets(table)
+        magnitude = told[0][distinct(every)[1]]
         out, at = [], 0
-        for d, keys in zip(table["doc_id"], each, strict=True):
-            m = magnitude[at : at + len(keys)]
-            at += len(keys)
-            size, shared = len(keys), keys[m > 0]
+        for d, size in zip(table["doc_id"], sizes, strict=True):
+            keys, m = every[at : at + size], magnitude[at : at + size]
+            at += size
+            shared = keys[m > 0]
             alone = size - len(shared)
             if d.as_py() is None or not size or 100 * len(shared) < percent * size:
                 out.append((d.as_py(), size, None, None, None))
