@@ -17,8 +17,9 @@
 The order is by (magnitude of the document count, hash). N-grams are keyed by 64-bit hashes.
 
 Words: ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. Fewer words than n: the whole sequence is one n-gram. Null, empty
-and blank texts have no n-grams and are components of their own. Rows with the same doc_id are united by it. A null
-doc_id is kept as a row without links. An empty table gives no rows.
+and blank texts have no n-grams and are components of their own. Repeated rows, and rows that
+share a doc_id, give one row each, by their own text. A null doc_id is kept as a row without links. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from ._graph import connected_components
 N, PERCENT = 5, 80
 #: N-grams that one task holds of a cluster at once (32 MB of keys).
 CHUNK_GRAMS = 4_000_000
+#: Bound on the classes that are broadcast: those with over one in so many of the documents.
+HOT_CLASSES = 1000
 #: Parts of the n-gram order in which a pair's overlap is counted.
 PAIR_FRAGMENTS = 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -212,9 +215,9 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
     """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id that links reach)."""
     ensure_checkpoint_dir(docs.sparkSession)
     every = _gather(docs, n, percent, block_bytes).checkpoint()
+    ids = every.select("doc_id", "n_shingles", "digest").checkpoint()  # what is read again below, without the n-grams
     maybe = every.where("digest is not null")
-    classes = maybe.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    member = maybe.select("doc_id", "digest").join(classes, "digest").select(F.col("doc_id").alias("m"), "class_id").distinct()
+    classes = ids.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).checkpoint()
     heads = maybe.join(classes.select(F.col("class_id").alias("doc_id"), F.col("digest").alias("d")), "doc_id").where("digest = d").dropDuplicates(["doc_id", "digest"]).drop("d", "digest")
     listed = heads.select("doc_id", F.explode("prefix").alias("gram"))
     least = listed.groupBy("gram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
@@ -226,8 +229,29 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
     large = placed.where("chunks > 1")
     if not large.isEmpty():
         small = small.unionAll(connected_components(_links_in_large(large, percent)))
-    joined = member.join(small, member["class_id"] == small["node"], "left").select("m", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    return every.join(joined, every["doc_id"] == joined["m"], "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # of rows that share a doc_id but not a set, a node has several
+    small = small.groupBy("node").agg(F.min("component").alias("component"))
+    told = classes.join(small, classes["class_id"] == small["node"], "left").select("digest", "n", "class_id", F.coalesce("component", "class_id").alias("component_id")).checkpoint()
+    return _told(ids, told)
+
+
+def _told(ids: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each document with what its class was told: rows (digest, n, class_id, component_id), n the class's documents.
+
+    Copies of one text all have one digest. Classes with over 1/HOT_CLASSES of the documents, of which there are fewer
+    than HOT_CLASSES, are broadcast; only the rest meets by digest. Documents without a digest go straight through.
+    """
+    out = ["doc_id", "n_shingles", "class_id", "component_id"]
+    bound = classes.agg(F.sum("n")).first()[0]
+    alone = ids.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    if not bound:
+        return alone
+    hot = classes.where(F.col("n") * HOT_CLASSES > bound).drop("n")
+    cold = classes.where(F.col("n") * HOT_CLASSES <= bound).drop("n")
+    member = ids.where("digest is not null")
+    of_hot = member.join(F.broadcast(hot), "digest").select(out)
+    of_cold = member.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(cold, "digest").select(out)
+    return alone.unionAll(of_hot).unionAll(of_cold)
 
 
 def keep_one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
