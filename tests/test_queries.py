@@ -68,3 +68,26 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("select sum(n) from prof").first()[0] == 200
+
+
+def test_threshold_edges(spark):
+    from veridata.operators import calibrate
+
+    df = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 3), (None, 1), (6, None)], "v int, r int")
+    assert [tuple(x) for x in calibrate.best_thresholds(df, "v", "r").collect()] == [(1.5, 2.5, 3.5, 6, 6, 1.0)]
+    assert [tuple(x) for x in calibrate.boundaries(df, "v", "r").collect()][0] == (0, 1, 2, 1, True, 1.5)
+    assert tuple(calibrate.monotonicity(df, "v", "r").first()) == (5, 0, 0)
+    none = df.where("v > 9")
+    assert calibrate.best_thresholds(none, "v", "r").count() == calibrate.boundaries(none, "v", "r").count() == 0
+    assert tuple(calibrate.monotonicity(none, "v", "r").first()) == (0, 0, 0)
+
+
+def test_choice_edges(spark):
+    from veridata.operators import choices
+
+    docs = spark.createDataFrame([(1, "a"), (2, "A!"), (3, None), (4, "b"), (5, "c")], "doc_id long, text string")
+    got = {r.a: r for r in choices.composite_choices(docs, strata=1).collect()}
+    assert set(got) == {1, 4, 5} and all(r.choices.split("|")[r.position] == r.answer for r in got.values())
+    assert choices.composite_choices(docs.where("doc_id < 4"), strata=1).count() == 0
+    mcq = spark.createDataFrame([(1, "x", "x|y", 0), (1, "x", "y|y", 5), (2, None, None, None)], "row_id long, answer string, choices string, position long")
+    assert choices.audit_choices(mcq).first().asDict() == {"n": 3, "answer_missing": 1, "repeated_choices": 1, "wrong_gold": 1, "repeated_ids": 1}

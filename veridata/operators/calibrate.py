@@ -19,6 +19,45 @@ def best_boundary(df: DataFrame, value: str, low: str) -> DataFrame:
     return right.orderBy(F.desc("right"), "v").limit(1).select(F.col("v").alias("boundary"), "right", "n", F.round(F.col("right") / F.col("n"), 6).alias("accuracy"))
 
 
+def boundaries(df: DataFrame, value: str, rank: str) -> DataFrame:
+    """Between each two neighbouring classes: the lower one's largest value, the upper one's smallest, gap and midpoint."""
+    per = df.where(F.col(value).isNotNull() & F.col(rank).isNotNull()).groupBy(F.col(rank).alias("rank")).agg(F.min(value).alias("least"), F.max(value).alias("low_most"))
+    up = F.lead("least").over(Window.orderBy("rank"))  # a row a class
+    gap = F.col("high_least") - F.col("low_most")
+    return per.withColumn("high_least", up).where("high_least is not null").select("rank", "low_most", "high_least", F.round(gap, 6).alias("gap"), (gap > 0).alias("clean"), F.round((F.col("low_most") + F.col("high_least")) / 2, 6).alias("midpoint"))
+
+
+def monotonicity(df: DataFrame, value: str, rank: str) -> DataFrame:
+    """Neighbours in the order of value whose class falls, and values with several classes; one row a distinct pair is ordered."""
+    per = df.where(F.col(value).isNotNull() & F.col(rank).isNotNull()).select(F.col(value).alias("v"), F.col(rank).alias("r")).distinct()
+    falls = F.lag("r").over(Window.orderBy("v", "r")) > F.col("r")
+    down = per.select(falls.alias("falls")).agg(F.count("*").alias("n_pairs"), F.coalesce(F.sum(F.col("falls").cast("long")), F.lit(0).cast("long")).alias("n_inversions"))
+    mixed = per.groupBy("v").agg(F.count("*").alias("k")).agg(F.coalesce(F.sum((F.col("k") > 1).cast("long")), F.lit(0).cast("long")).alias("n_conflicts"))
+    return down.join(F.broadcast(mixed))
+
+
+def best_thresholds(df: DataFrame, value: str, rank: str) -> DataFrame:
+    """The three rising cuts between values that put most rows in their class 0 to 3; of equals the lowest cuts.
+
+    Rows right below and above the cuts are sums of prefix counts, one term a cut, so the best pair of lower cuts for each
+    cut is a running maximum: sorting the distinct values replaces the search over all triples. No rows give no row.
+    """
+    at = lambda r: F.sum((F.col(rank) == r).cast("long"))
+    per = df.where(F.col(value).isNotNull() & F.col(rank).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(*[at(r).alias(f"c{r}") for r in range(4)])
+    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    after = per.select(F.coalesce((F.col("v") + F.lead("v").over(Window.orderBy("v"))) / 2, F.col("v") + 1).alias("t"), *[F.sum(f"c{r}").over(upto).alias(f"p{r}") for r in range(4)])
+    zero = F.lit(0).cast("long")
+    before = per.groupBy().agg((F.min("v") - 1).alias("t"), *[zero.alias(f"p{r}") for r in range(4)]).where("t is not null")
+    total = per.agg(F.sum("c3").alias("n3"), F.sum(sum(F.col(f"c{r}") for r in range(4))).alias("n"))
+    cuts = after.unionByName(before).join(F.broadcast(total))
+    lower = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    one = cuts.withColumn("first", F.max(F.struct((F.col("p0") - F.col("p1")).alias("s"), (-F.col("t")).alias("t1"))).over(lower))
+    pair = F.struct((F.col("first.s") + F.col("p1") - F.col("p2")).alias("s"), F.col("first.t1").alias("t1"), (-F.col("t")).alias("t2"))
+    two = one.withColumn("two", F.max(F.when(F.col("first").isNotNull(), pair)).over(lower)).where("two is not null")
+    best = F.max(F.struct((F.col("two.s") + F.col("p2") - F.col("p3") + F.col("n3")).alias("s"), F.col("two.t1").alias("t1"), F.col("two.t2").alias("t2"), (-F.col("t")).alias("t3"), F.col("n").alias("n")))
+    return two.agg(best.alias("b")).where("b is not null").select((-F.col("b.t1")).alias("t1"), (-F.col("b.t2")).alias("t2"), (-F.col("b.t3")).alias("t3"), F.col("b.s").alias("right"), F.col("b.n").alias("n"), F.round(F.col("b.s") / F.col("b.n"), 6).alias("accuracy"))
+
+
 def classify(df: DataFrame, value: str, cuts: tuple[float, float, float], names: tuple[str, str, str, str]) -> DataFrame:
     """Rows per class of three thresholds, classes without rows included."""
     v = F.col(value)

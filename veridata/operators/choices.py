@@ -51,3 +51,34 @@ def hash_top(df: DataFrame, group: str, keys: list[str], k: int) -> DataFrame:
     """The k rows of each group that come first by hash; a smaller k gives a prefix."""
     w = Window.partitionBy(group).orderBy(digest(*keys), *keys)
     return df.select(group, *keys).withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+
+
+def composite_choices(docs: DataFrame, strata: int = 16) -> DataFrame:
+    """Two texts and whether they are equal, as one choice of four.
+
+    The pool holds the first document of each comparison key. Inside a stratum of it each document is paired with the next
+    one in a circle and, where its hash says so, with itself; the one after is the wrong text. Wrong choices: the other
+    truth, the wrong second text, the wrong first text. Strata with fewer than three documents give no rows.
+    """
+    pool = docs.where(F.col("text").isNotNull()).groupBy(F.sha2(spoken_key("text"), 256).alias("k")).agg(F.min("doc_id").alias("doc_id"))
+    w = Window.partitionBy("stratum").orderBy("doc_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ring = pool.select("doc_id", (hash_int("doc_id") % strata).alias("stratum"))
+    ring = ring.withColumn("next", F.coalesce(F.lead("doc_id").over(w), F.first("doc_id").over(whole))).withColumn("third", F.coalesce(F.lead("doc_id", 2).over(w), F.when(F.lead("doc_id").over(w).isNotNull(), F.first("doc_id").over(whole)).otherwise(F.nth_value("doc_id", 2).over(whole)))).withColumn("size", F.count("*").over(whole)).where("size >= 3")
+    same = hash_int(F.lit("same"), "doc_id") % 2 == 0
+    rows = ring.select(F.col("doc_id").alias("a"), F.when(same, F.col("doc_id")).otherwise(F.col("next")).alias("b"), "third", same.alias("same"))
+    said = lambda x, y, z: F.concat_ws(",", x, y, z.cast("string"))
+    gold = said(F.col("a"), F.col("b"), F.col("same"))
+    four = F.array(gold, said(F.col("a"), F.col("b"), ~F.col("same")), said(F.col("a"), F.col("third"), F.col("same")), said(F.col("third"), F.col("b"), F.col("same")))
+    shown = F.transform(F.array_sort(F.transform(four, lambda x: F.struct(digest(F.lit("order"), F.col("a"), x).alias("h"), x.alias("x")))), lambda p: p["x"])
+    return rows.select("a", "b", "same", gold.alias("answer"), shown.alias("c")).select("a", "b", "same", "answer", F.array_join("c", "|").alias("choices"), (F.array_position("c", F.col("answer")) - 1).alias("position"))
+
+
+def audit_choices(mcq: DataFrame) -> DataFrame:
+    """One row of violation counts of rows (row_id, answer, choices, position); all are 0 in a sound set."""
+    c = F.split("choices", r"\|")
+    bad = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0).cast("long"))
+    ids = mcq.groupBy("row_id").agg(F.count("*").alias("k")).agg(bad(F.col("k") > 1).alias("repeated_ids"))
+    at = F.try_element_at(c, (F.col("position") + 1).cast("int"))
+    out = mcq.agg(F.count("*").alias("n"), bad(~F.array_contains(c, F.col("answer"))).alias("answer_missing"), bad(F.size(F.array_distinct(c)) < F.size(c)).alias("repeated_choices"), bad(~at.eqNullSafe(F.col("answer"))).alias("wrong_gold"))
+    return out.join(F.broadcast(ids))

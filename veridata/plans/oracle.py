@@ -57,6 +57,9 @@ _DEP = """SELECT count(*) AS n_sources, CAST(sum((n >= 2)::INT) AS BIGINT) AS n_
   sum((t > 1)::INT) = 0 AND sum((n >= 2)::INT) > 0 AS holds, '{1}' AS relation FROM (SELECT count(*) AS n, count(DISTINCT n_regionkey) AS t FROM """ + _CN + " GROUP BY {0})"
 _KEYED = f"SELECT doc_id, text, lang, source, sha256({_spoken('text')}) AS k FROM documents WHERE text IS NOT NULL"
 
+_BANDED = "b AS (SELECT p_size, CAST(CASE WHEN p_partkey % 5 = 0 THEN p_partkey % 4 ELSE least(3, p_size // 13) END AS INTEGER) AS rank FROM part)"
+
+
 ORACLES: dict[str, str] = {
     "q_profile_table": " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS field, count(*) AS n, CAST(sum(({c} IS NULL)::INT) AS BIGINT) AS n_missing, count(DISTINCT {c}) AS n_distinct FROM {t}" for t, cs in _TOPIC.items() for c in cs),
     "q_missing_normalize": "SELECT user_id, count(*) AS n, count(v) AS n_present, count(DISTINCT v) AS n_kinds FROM (SELECT user_id, CASE WHEN lower(trim(event_type)) IN ('error', 'none', '') THEN NULL ELSE event_type END AS v FROM events) GROUP BY user_id",
@@ -121,4 +124,21 @@ ORACLES: dict[str, str] = {
     "q_dependency_manifest": _neighborhood(2, 2) + f"SELECT {_audio('customer', 'r')} AS audio_id, count(*) AS n_refs FROM (SELECT a AS r FROM p UNION ALL SELECT b FROM p) GROUP BY r",
     "q_union_release": f"SELECT 'o' || row_id AS id, 'DIRECT' AS operator, CAST(template AS VARCHAR) AS answer FROM ({_TEMPLATE}) UNION ALL SELECT 'c' || anchor, 'SELECTION', answer FROM ({_SELECTION})",
     "q_json_props": "SELECT event_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k, min(k) AS min_k, max(k) AS max_k FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY 1",
+    "q_class_boundaries": f"WITH {_BANDED}, c AS (SELECT rank, min(p_size) AS a, max(p_size) AS z FROM b GROUP BY 1), l AS (SELECT rank, z AS low_most, lead(a) OVER (ORDER BY rank) AS high_least FROM c) SELECT *, high_least - low_most AS gap, high_least > low_most AS clean, round((low_most + high_least) / 2, 6) AS midpoint FROM l WHERE high_least IS NOT NULL",
+    "q_monotonicity": f"WITH {_BANDED}, v AS (SELECT DISTINCT p_size, rank FROM b), l AS (SELECT lag(rank) OVER (ORDER BY p_size, rank) > rank AS f FROM v) SELECT (SELECT count(*) FROM v) AS n_pairs, (SELECT count(*) FROM l WHERE f) AS n_inversions, (SELECT count(*) FROM (SELECT p_size FROM v GROUP BY 1 HAVING count(*) > 1)) AS n_conflicts",
+    "q_search3": f"""WITH {_BANDED}, v AS (SELECT DISTINCT p_size AS v FROM b), t AS (SELECT min(v) - 1.0::DOUBLE AS t FROM v UNION ALL SELECT coalesce((v + lead(v) OVER (ORDER BY v)) / 2, v + 1.0::DOUBLE) FROM v),
+      p AS (SELECT t, count(*) FILTER (rank = 0 AND p_size < t) AS p0, count(*) FILTER (rank = 1 AND p_size < t) AS p1, count(*) FILTER (rank = 2 AND p_size < t) AS p2, count(*) FILTER (rank = 3 AND p_size >= t) AS q3, count(*) AS n FROM t, b GROUP BY t)
+      SELECT i.t AS t1, j.t AS t2, k.t AS t3, i.p0 + j.p1 - i.p1 + k.p2 - j.p2 + k.q3 AS "right", i.n AS n, round((i.p0 + j.p1 - i.p1 + k.p2 - j.p2 + k.q3) / i.n, 6) AS accuracy
+      FROM p i JOIN p j ON i.t < j.t JOIN p k ON j.t < k.t ORDER BY "right" DESC, t1, t2, t3 LIMIT 1""",
+    "q_mcq_composite": f"""WITH pool AS (SELECT min(doc_id) AS doc_id FROM documents WHERE lang = 'en' AND text IS NOT NULL GROUP BY sha256({_spoken('text')})),
+      r AS (SELECT doc_id, {_hash_int('doc_id')} % 16 AS s FROM pool), o AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY s) AS z FROM r),
+      m AS (SELECT x.doc_id AS a, CASE WHEN {_hash_int("'same'", 'x.doc_id')} % 2 = 0 THEN x.doc_id ELSE y.doc_id END AS b, w.doc_id AS t, {_hash_int("'same'", 'x.doc_id')} % 2 = 0 AS same
+        FROM o x JOIN o y ON y.s = x.s AND y.i = (x.i + 1) % x.z JOIN o w ON w.s = x.s AND w.i = (x.i + 2) % x.z WHERE x.z >= 3),
+      c AS (SELECT a, b, same, concat_ws(',', a, b, same) AS answer, unnest([concat_ws(',', a, b, same), concat_ws(',', a, b, NOT same), concat_ws(',', a, t, same), concat_ws(',', t, b, same)]) AS x FROM m),
+      l AS (SELECT a, b, same, answer, list(x ORDER BY {_digest("'order'", 'a', 'x')}) AS c FROM c GROUP BY 1, 2, 3, 4)
+      SELECT a, b, same, answer, array_to_string(c, '|') AS choices, list_position(c, answer)::BIGINT - 1 AS position FROM l""",
+    "q_leakage": r"""SELECT source, count(*) AS n, count(*) FILTER (contains(lower(text), lower(source))) AS label_leaks, count(*) FILTER (regexp_matches(lower(text), '(^|\s)(/[a-z]|[a-z]:\\)[^\s]*')) AS path_leaks, count(*) FILTER (regexp_matches(lower(text), 'https?://')) AS url_leaks FROM documents WHERE text IS NOT NULL GROUP BY 1""",
 }
+ORACLES["q_audit_mcq"] = f"""WITH m AS ({ORACLES['q_mcq_distractors_fixed']}), s AS (SELECT 'sound' AS of, * FROM m UNION ALL SELECT 'faulty', row_id, CASE WHEN row_id % 11 = 0 THEN 'NOWHERE' ELSE answer END, choices, CASE WHEN row_id % 7 = 0 THEN (position + 1) % 4 ELSE position END FROM (SELECT row_id, answer, choices, position FROM m UNION ALL SELECT row_id, answer, choices, position FROM m WHERE row_id % 100 = 0)),
+  c AS (SELECT *, string_split(choices, '|') AS l FROM s), i AS (SELECT of, count(*) AS repeated_ids FROM (SELECT of, row_id FROM s GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1)
+  SELECT c.of, count(*) AS n, count(*) FILTER (NOT list_contains(l, answer)) AS answer_missing, count(*) FILTER (len(list_distinct(l)) < len(l)) AS repeated_choices, count(*) FILTER (l[position + 1] IS DISTINCT FROM answer) AS wrong_gold, coalesce(any_value(i.repeated_ids), 0) AS repeated_ids FROM c LEFT JOIN i ON c.of = i.of GROUP BY c.of"""

@@ -275,3 +275,43 @@ def q_union_release(s, d):
 def q_json_props(s, d):
     k = F.get_json_object("props", "$.k").cast("int")
     return table(s, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("sum_k"), F.min(k).alias("min_k"), F.max(k).alias("max_k"))
+
+
+def _banded(s, d):
+    """part with a class 0 to 3 that follows its size but for every fifth part."""
+    return table(s, d, "part").select("p_size", F.when(F.col("p_partkey") % 5 == 0, F.col("p_partkey") % 4).otherwise(F.least(F.lit(3), F.floor(F.col("p_size") / 13))).cast("int").alias("rank"))
+
+
+@query
+def q_class_boundaries(s, d):
+    return calibrate.boundaries(_banded(s, d), "p_size", "rank")
+
+
+@query
+def q_monotonicity(s, d):
+    return calibrate.monotonicity(_banded(s, d), "p_size", "rank")
+
+
+@query
+def q_search3(s, d):
+    return calibrate.best_thresholds(_banded(s, d), "p_size", "rank")
+
+
+@query
+def q_mcq_composite(s, d):
+    return choices.composite_choices(table(s, d, "documents").where("lang = 'en'"))
+
+
+@query
+def q_audit_mcq(s, d):
+    sound = q_mcq_distractors_fixed(s, d)
+    # seeded faults: a repeated id, a wrong position, an answer that is no choice
+    faulty = sound.unionByName(sound.where("row_id % 100 = 0")).withColumn("position", F.when(F.col("row_id") % 7 == 0, (F.col("position") + 1) % 4).otherwise(F.col("position"))).withColumn("answer", F.when(F.col("row_id") % 11 == 0, F.lit("NOWHERE")).otherwise(F.col("answer")))
+    return profile.union_all([choices.audit_choices(x).select(F.lit(n).alias("of"), "*") for n, x in (("sound", sound), ("faulty", faulty))])
+
+
+@query
+def q_leakage(s, d):
+    t = F.lower("text")
+    n = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0).cast("long"))
+    return table(s, d, "documents").where("text is not null").groupBy("source").agg(F.count("*").alias("n"), n(F.contains(t, F.lower("source"))).alias("label_leaks"), n(t.rlike(r"(^|\s)(/[a-z]|[a-z]:\\)[^\s]*")).alias("path_leaks"), n(t.rlike(r"https?://")).alias("url_leaks"))
