@@ -236,6 +236,23 @@ def test_language_edges(docs, none):
     assert lang_id.keep_identified(docs).columns == docs.columns
 
 
+def test_unknown_languages_go(spark):
+    import corpus_pipeline
+
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = random.Random(5)
+    bad = [
+        " ".join(f"{r.getrandbits(32):08x}" for _ in range(200)),
+        " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(100)),
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa",
+        "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+    ]
+    extra = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(bad)], "doc_id long, text string")
+    docs = d.unionByName(extra, allowMissingColumns=True)
+    gone = docs.select("doc_id").subtract(corpus_pipeline.identify(spark, docs, "").select("doc_id"))
+    assert {x.doc_id for x in gone.collect()} == {10**9 + i for i in range(len(bad))}
+
+
 def test_licenses(spark):
     rows = [(1, "foo\nLicensed under the MIT License.\nbar"), (2, "Er geht mit dem Hund."), (3, None), (4, ""), (5, "All rights reserved."), (6, "The license plate was lost on the common road.")]
     got = {(r.doc_id, r.paragraph): (r.family, r.confirmed) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -11,6 +11,11 @@ runs of letters in lower case, with a mark at both ends.
 Sample: of the labelled rows of the learning folds, those whose hash of doc_id is low enough that TRAIN_DOCS are expected
 per label, and of those the TRAIN_WORDS words with the smallest hashes per label. The rest of the corpus takes no part.
 
+``keep_identified`` rejects text of no learnt language by the winner's bits per sign. Its limits come from labelled texts
+of one learning fold that its sample then leaves out: a winner's limit is what its texts need, but for one in a thousand
+(labels can be wrong), and SLACK more. A text of w distinct words is measured by
+their bits / (1 + 1 / sqrt(w)): few words prove little, and a word repeated proves no more.
+
 Null text, or text without letters: ``und``, score 0. No labels at all: ``und``. Ties go to the smaller label. Labels
 that are null are not learnt. Repeated rows are predicted one by one. An empty table gives no rows.
 """
@@ -30,6 +35,9 @@ from ._common import kept, per_document
 TRAIN_DOCS = 300
 TRAIN_WORDS = 12_000
 FOLDS, HELD = 4, 2
+#: The learning fold that limits are taken from, how many of its texts a label are expected, and with how many a label has its own limit.
+LIMIT_FOLD, LIMIT_DOCS, LIMIT_LEAST = 1, 1000, 100
+SLACK = 0.1
 NONE = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -126,16 +134,34 @@ class CrossParser:
         rest = np.delete(bits, best)
         return self.labels[best], float(1 - bits[best] / rest.min()) if len(rest) else 1.0, float(bits[best])
 
+    def need(self, text: str | None) -> tuple[str, float, float]:
+        """Label, score, and the winner's bits per sign over the text's distinct words, lowered where those are few."""
+        label, score, _ = self.predict(text)
+        if label == NONE:
+            return label, score, 0.0
+        at, kinds = self.labels.index(label), set(_WORD.findall(text.lower()))
+        phrases = sum(memoryview(self.table.get(w) or self._word(w)).cast("I")[at] for w in kinds)
+        bits = phrases * float(self.weight[at]) / (sum(map(len, kinds)) + 2 * len(kinds))
+        return label, score, bits / (1 + 1 / math.sqrt(len(kinds)))
 
-def learn_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, folds: int = FOLDS, held: int = HELD) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """The bounded sample of words per label. What reaches the driver: a row per label, then the sampled rows' words,
-    at most ``train_words`` distinct ones per label."""
-    learn = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % folds != held))
+
+def _few_of_each(docs: DataFrame, each: int) -> DataFrame | None:
+    """Of the labelled texts those with low hashes, ``each`` a label expected; None without labels."""
+    learn = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, train_docs / n))]) if counts else F.lit(None)
     if not counts:
+        return None
+    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))])
+    return learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (share[F.col("lang")] * (1 << 20)))
+
+
+def learn_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, folds: int = FOLDS, held: int = HELD, spare: int | None = None) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """The bounded sample of words per label; fold ``spare``, if any, is left out too. What reaches the driver: a row per label, then the sampled rows' words,
+    at most ``train_words`` distinct ones per label."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % folds
+    few = _few_of_each(docs.where((fold != held) & (fold != (held if spare is None else spare))), train_docs)
+    if few is None:
         return ()
-    few = learn.where((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (share[F.col("lang")] * (1 << 20))))
     words = few.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word")).distinct()
     from pyspark.sql import Window
 
@@ -163,16 +189,36 @@ def predict_languages(docs: DataFrame, sample: tuple | None = None, folds: int =
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
 
 
+def learn_limits(docs: DataFrame, sample: tuple, folds: int = FOLDS, fold: int = LIMIT_FOLD) -> dict[str | None, float]:
+    """The largest need that still counts as a learnt language, by winner; under None, that of winners with few texts.
+    What reaches the driver: a label and a number of the bounded sample's texts."""
+    few = _few_of_each(docs.where(F.crc32(F.col("doc_id").cast("string")) % folds == fold), LIMIT_DOCS)
+    if few is None or not sample:
+        return {}
+
+    def row():
+        return _parser(sample).need
+
+    by: dict[str | None, list[float]] = {None: []}
+    for r in per_document(few, row, "won string, score double, need double").where(F.col("won") != NONE).select("won", "need").collect():
+        by.setdefault(r.won, []).append(r.need)
+        by[None].append(r.need)
+    return {k: sorted(v)[-1 - len(v) // 1000] * (1 + SLACK + 1 / math.sqrt(len(v))) for k, v in by.items() if v and (k is None or len(v) >= LIMIT_LEAST)}
+
+
 def keep_identified(docs: DataFrame, min_score: float = 0.0, sample: tuple | None = None) -> DataFrame:
-    """The documents whose language is identified: not ``und``, and not under ``min_score``. A narrow map."""
-    model = learn_sample(docs) if sample is None else sample
+    """The documents whose language is identified: not ``und``, of a learnt language by the limits of ``learn_limits``, and
+    not under ``min_score``. A narrow map after the sample and the limits are taken."""
+    model = learn_sample(docs, spare=LIMIT_FOLD) if sample is None else sample
+    limits = learn_limits(docs, model)
+    other = limits.get(None, math.inf)
 
     def run(batches):
         import pyarrow as pa
 
         parser = _parser(model)
         for b in batches:
-            said = (parser.predict(t.as_py()) for t in b.column(b.schema.get_field_index("text")))
-            yield b.filter(pa.array([p[0] != NONE and p[1] >= min_score for p in said], pa.bool_()))
+            said = (parser.need(t.as_py()) for t in b.column(b.schema.get_field_index("text")))
+            yield b.filter(pa.array([p[0] != NONE and p[1] >= min_score and p[2] <= limits.get(p[0], other) for p in said], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
