@@ -188,6 +188,37 @@ def test_substring(spark):
     assert len(got) == len(rows)
 
 
+def covered_words(texts, n=51):
+    """Numbers of each text's words in any n-word stretch that another text holds."""
+    parts = {i: [m.span() for m in W.finditer(t)] for i, t in texts.items()}
+    held = {}
+    for i, p in parts.items():
+        for k in range(len(p) - n + 1):
+            held.setdefault(texts[i][p[k][0] : p[k + n - 1][1]], set()).add(i)
+    return {i: {k + j for k in range(len(p) - n + 1) if len(held[texts[i][p[k][0] : p[k + n - 1][1]]]) > 1 for j in range(n)} for i, p in parts.items()}
+
+
+def passages_of(spark, texts):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: r for r in substring_dedup.repeated_passages(df, block_bytes=20_000).collect()}
+
+
+def test_substring_finds_every_passage(spark):
+    r = random.Random(8)
+    short = lambda n: " ".join(r.choice("abcdefghijklmnopqrstuvwxyz") * r.randint(1, 2) for _ in range(n))
+    texts = {}
+    for i in range(40):
+        same = short(51 if i % 2 else 50)
+        for j in range(2):
+            texts[2 * i + j] = f"{short(r.randint(0, 60))} {same} {short(r.randint(0, 60))}".strip()
+    got, want = passages_of(spark, texts), covered_words(texts)
+    assert all(want[i] for i in texts if i // 2 % 2)
+    assert {i: (x.n_repeated, x.has_passage) for i, x in got.items()} == {i: (len(w), bool(w)) for i, w in want.items()}
+    han = "".join(chr(0x4E00 + r.randrange(5000)) for _ in range(60))
+    got = passages_of(spark, {1: f"甲乙{han}丙", 2: f"{prose(9)} 丁{han}戊", 3: "丁丙"})
+    assert [got[i].n_repeated for i in (1, 2, 3)] == [60, 60, 0] and got[2].text.endswith("丁戊")
+
+
 def test_chunks_cover():
     for t in [b"", b"a", b"ab" * 40, prose(500).encode(), ("é😀" * 900).encode(), b"z" * 3000]:
         ends = substring_dedup.chunk_ends(t)
