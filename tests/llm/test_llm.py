@@ -219,6 +219,15 @@ def test_substring_finds_every_passage(spark):
     assert [got[i].n_repeated for i in (1, 2, 3)] == [60, 60, 0] and got[2].text.endswith("丁戊")
 
 
+def test_substring_chains_no_phrases(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 8)))
+    phrases = [" ".join(word() for _ in range(40)) for _ in range(8)]
+    texts = {i: f"{word()} {p} {word()}" for i, p in enumerate(phrases)} | {100: " ".join(phrases)}
+    got = passages_of(spark, texts)
+    assert not any(x.has_passage or x.removed_bytes for x in got.values()) and got[100].text == texts[100]
+
+
 def test_chunks_cover():
     for t in [b"", b"a", b"ab" * 40, prose(500).encode(), ("é😀" * 900).encode(), b"z" * 3000]:
         ends = substring_dedup.chunk_ends(t)
