@@ -131,6 +131,33 @@ def test_ngram_join(docs, none, chunk):
     assert ngram_join.ngram_components(none).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [4_000_000, 300])
+def test_ngram_links(docs, none, chunk):
+    sets = {}
+    for i, t in enumerate(TEXTS):
+        w = W.findall(lower(t))
+        sets.setdefault(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else i, i)
+    of = {i: s for s, i in sets.items() if s != i}
+    want = {(a, b, len(of[a] & of[b])) for a, b in itertools.combinations(sorted(of), 2) if 100 * len(of[a] & of[b]) >= 80 * len(of[a] | of[b])}
+    assert len(want) > len({x for p in want for x in p[:2]})  # more links than a walk needs
+    got = [tuple(r) for r in ngram_join.ngram_links(docs, chunk_grams=chunk).collect()]
+    assert len(got) == len(want) and set(got) == want
+    ends = Counter(x for p in want for x in p[:2])
+    assert {r.class_id: r.n_links for r in ngram_join.link_counts(docs, chunk_grams=chunk).collect()} == {i: ends[i] for i in sets.values()}
+    assert ngram_join.link_counts(none).count() == 0
+
+
+def test_ngram_links_statement(spark):
+    import duckdb
+
+    from veridata.llm import queries, sql
+
+    c = duckdb.connect()
+    c.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    got = sorted((r.class_id, r.n_links) for r in queries.op4_ngram_links(spark, "/root/testdata/sf0.001").collect())
+    assert got == sorted(c.sql(sql.ORACLES["op4_ngram_links"]).fetchall())
+
+
 def test_ngram_nulls(spark):
     df = spark.createDataFrame([(None, BASE), (1, BASE), (1, BASE), (2, None)], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in ngram_join.ngram_components(df).collect())

@@ -14,6 +14,10 @@
 4. A cluster with more n-grams than one task should hold is dealt at random into chunks, twice; what stays apart from the
    cluster's largest component is then compared, chunk by chunk, with the whole cluster.
 
+``ngram_links`` gives every link between classes: it stops at 2 and counts the overlap of each pair of a cluster's classes
+that share an n-gram, chunk against chunk where a cluster has several. A group of k linked classes has up to k (k - 1) / 2
+links, so its work and rows grow with the square of the largest group; components and the pipeline don't need it.
+
 The order is by (magnitude of the document count, hash). N-grams are keyed by 64-bit hashes.
 
 Words: ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. Fewer words than n: the whole sequence is one n-gram. Null, empty
@@ -129,6 +133,35 @@ def components_in(keys: list[np.ndarray], sizes: np.ndarray, percent: int, start
     return result
 
 
+def links_in(keys: list[np.ndarray], sizes: np.ndarray, percent: int, right: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and overlap of every pair that links, each once. With ``right``, only pairs of one document outside it and
+    one inside."""
+    g = len(keys)
+    own = np.repeat(np.arange(g), [len(k) for k in keys])
+    grams, col = distinct(np.concatenate(keys)) if own.size else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    first = np.cumsum([0, *map(len, keys)])
+    listed = np.arange(len(own)) if right is None else np.flatnonzero(right[own])
+    order = listed[np.argsort(col[listed], kind="stable")]
+    post, at = own[order], np.searchsorted(col[order], np.arange(len(grams) + 1))
+    begin, end = at[:-1].copy(), at[1:]
+    out = [[np.empty(0, np.int64)] * 3]
+    for d in range(g) if right is None else np.flatnonzero(~right):
+        mine = col[first[d] : first[d + 1]]
+        if right is None:
+            begin[mine] += 1  # lists are in the documents' order, so this passes d itself and leaves the later ones
+        n = end[mine] - begin[mine]
+        met = post[np.repeat(begin[mine] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        if 4 * len(met) > g:
+            overlap = np.bincount(met, minlength=g)
+            j = np.flatnonzero(overlap)
+            overlap = overlap[j]
+        else:
+            j, overlap = np.unique(met, return_counts=True)
+        good = overlap >= least_overlap(sizes[d], sizes[j], percent)
+        out.append([np.full(int(good.sum()), d), j[good], overlap[good]])
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
 def _gather(docs: DataFrame, n: int, percent: int, block_bytes: int) -> DataFrame:
     """(doc_id, n_shingles, digest, shared, prefix): of documents that may link, the shared n-grams and the keys of the
     inverted lists they stand in; of all others nulls."""
@@ -211,8 +244,9 @@ def _links_in_large(large: DataFrame, percent: int) -> DataFrame:
     return edges.unionAll(more)
 
 
-def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id that links reach)."""
+def _clustered(docs: DataFrame, n: int, percent: int, chunk_grams: int, block_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n_shingles, digest) of all documents; (digest, class_id, n) of the classes that may link; and of those
+    that meet others (cluster, doc_id, n_shingles, shared, chunks)."""
     ensure_checkpoint_dir(docs.sparkSession)
     every = _gather(docs, n, percent, block_bytes).checkpoint()
     ids = every.select("doc_id", "n_shingles", "digest").checkpoint()  # what is read again below, without the n-grams
@@ -224,7 +258,12 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
     near = connected_components(listed.join(least, "gram").select(F.col("doc_id").alias("a"), "b"))
     placed = heads.drop("prefix").join(near.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("component", "cluster")
     volume = placed.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("shared")) / 8 / chunk_grams).alias("chunks"))
-    placed = placed.join(volume, "cluster").checkpoint()
+    return ids, classes, placed.join(volume, "cluster").checkpoint()
+
+
+def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id that links reach)."""
+    ids, classes, placed = _clustered(docs, n, percent, chunk_grams, block_bytes)
     small = _searched(placed.where("chunks <= 1").withColumn("known", F.lit(None).cast("long")), ["cluster"], percent).select(F.col("doc_id").alias("node"), "component")
     large = placed.where("chunks > 1")
     if not large.isEmpty():
@@ -235,6 +274,36 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
     return _told(ids, told)
 
 
+def _class_links(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n_shared) of each link between classes, a < b, from rows (cluster, doc_id, n_shingles, shared, chunks)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        ids, chunk = table["doc_id"].to_numpy(), table["chunk"].to_numpy()
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        a, b, shared = links_in([np.frombuffer(k.as_py(), np.uint64) for k in table["shared"]], table["n_shingles"].to_numpy(), percent, None if x == y else chunk == y)
+        return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "n_shared": shared.astype(np.int64)})
+
+    # each chunk meets itself and every other one, in one task a pair
+    met = placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    met = met.select("cluster", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "doc_id", "n_shingles", "shared")
+    return met.groupBy("cluster", "x", "y").applyInArrow(run, "a long, b long, n_shared long").where("a <> b")
+
+
+def ngram_links(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """a, b, n_shared: every link between the classes of different texts, by class_id, a < b, and the n-grams they share."""
+    return _class_links(_clustered(docs, n, percent, chunk_grams, block_bytes)[2], percent)
+
+
+def link_counts(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """class_id, n_links: of every class, how many other classes it links with. Rows with a null doc_id have no class."""
+    ids, classes, placed = _clustered(docs, n, percent, chunk_grams, block_bytes)
+    links = _class_links(placed, percent)
+    ends = links.select(F.explode(F.array("a", "b")).alias("class_id"), F.lit(1).cast("long").alias("k"))
+    none = ids.where("digest is null and doc_id is not null").select(F.col("doc_id").alias("class_id")).unionAll(classes.select("class_id"))
+    return ends.unionAll(none.withColumn("k", F.lit(0).cast("long"))).groupBy("class_id").agg(F.sum("k").alias("n_links"))
+
+
 def _told(ids: DataFrame, classes: DataFrame) -> DataFrame:
     """Each document with what its class was told: rows (digest, n, class_id, component_id), n the class's documents.
 

@@ -34,6 +34,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(load(spark, sf_dir, "documents"))
 
 
+def op4_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_counts(load(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.top_inner_products(load(spark, sf_dir, "embeddings"))
 
@@ -59,4 +63,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("containment", F.round("containment", 9))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_pieces, op3_lm_score, op4_ngram_join, op5_topk, op6_token_store, op7_substring_dedup, op8_lang_id, op9_licenses, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_pieces, op3_lm_score, op4_ngram_join, op4_ngram_links, op5_topk, op6_token_store, op7_substring_dedup, op8_lang_id, op9_licenses, op10_decontaminate)}

@@ -21,6 +21,17 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT JOIN classe
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = w.doc_id
 """
 
+#: The steps of OP4 down to links and classes, without the recursive one.
+OP4_LINKS = (
+    OP4[: OP4.index("reach AS")]
+    + OP4[OP4.index("sets AS") : OP4.index("SELECT w.doc_id, coalesce")].rstrip()
+    + """,
+of AS (SELECT DISTINCT coalesce(c.class_id, w.doc_id) AS class_id FROM w LEFT JOIN sets USING (doc_id) LEFT JOIN classes c ON c.s = sets.s)
+SELECT of.class_id, count(l.b) AS n_links
+FROM of LEFT JOIN (SELECT * FROM links WHERE b IN (SELECT class_id FROM of)) l ON l.a = of.class_id GROUP BY of.class_id
+"""
+)
+
 OP5 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
@@ -46,4 +57,4 @@ SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item, round
 FROM d JOIN sized USING (n, g) GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n_item) * 0.8)
 """
 
-ORACLES: dict[str, str] = {"op4_ngram_join": OP4, "op5_topk": OP5, "op10_decontaminate": OP10}
+ORACLES: dict[str, str] = {"op4_ngram_join": OP4, "op4_ngram_links": OP4_LINKS, "op5_topk": OP5, "op10_decontaminate": OP10}
