@@ -16,7 +16,8 @@
 
 ``ngram_links`` gives every link between classes: it stops at 2 and counts the overlap of each pair of a cluster's classes
 that share an n-gram, chunk against chunk where a cluster has several. A group of k linked classes has up to k (k - 1) / 2
-links, so its work and rows grow with the square of the largest group; components and the pipeline don't need it.
+links, so its work and rows grow with the square of the largest group. ``link_counts`` does the same work, but gives one
+number a class. Components and the pipeline need neither.
 
 The order is by (magnitude of the document count, hash). N-grams are keyed by 64-bit hashes.
 
@@ -274,20 +275,26 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
     return _told(ids, told)
 
 
-def _class_links(placed: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n_shared) of each link between classes, a < b, from rows (cluster, doc_id, n_shingles, shared, chunks)."""
+def _class_links(placed: DataFrame, percent: int, counts: bool = False) -> DataFrame:
+    """(a, b, n_shared) of each link between classes, a < b, from rows (cluster, doc_id, n_shingles, shared, chunks); or,
+    counted in the task that finds them, (class_id, k): how many a class has there."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
         ids, chunk = table["doc_id"].to_numpy(), table["chunk"].to_numpy()
         x, y = table["x"][0].as_py(), table["y"][0].as_py()
-        a, b, shared = links_in([np.frombuffer(k.as_py(), np.uint64) for k in table["shared"]], table["n_shingles"].to_numpy(), percent, None if x == y else chunk == y)
-        return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "n_shared": shared.astype(np.int64)})
+        i, j, shared = links_in([np.frombuffer(k.as_py(), np.uint64) for k in table["shared"]], table["n_shingles"].to_numpy(), percent, None if x == y else chunk == y)
+        a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+        other = a != b
+        if counts:
+            kinds, k = np.unique(np.concatenate([a[other], b[other]]), return_counts=True)
+            return pa.table({"class_id": kinds, "k": k.astype(np.int64)})
+        return pa.table({"a": a[other], "b": b[other], "n_shared": shared[other].astype(np.int64)})
 
     # each chunk meets itself and every other one, in one task a pair
     met = placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     met = met.select("cluster", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "doc_id", "n_shingles", "shared")
-    return met.groupBy("cluster", "x", "y").applyInArrow(run, "a long, b long, n_shared long").where("a <> b")
+    return met.groupBy("cluster", "x", "y").applyInArrow(run, "class_id long, k long" if counts else "a long, b long, n_shared long")
 
 
 def ngram_links(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -298,10 +305,8 @@ def ngram_links(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams
 def link_counts(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """class_id, n_links: of every class, how many other classes it links with. Rows with a null doc_id have no class."""
     ids, classes, placed = _clustered(docs, n, percent, chunk_grams, block_bytes)
-    links = _class_links(placed, percent)
-    ends = links.select(F.explode(F.array("a", "b")).alias("class_id"), F.lit(1).cast("long").alias("k"))
     none = ids.where("digest is null and doc_id is not null").select(F.col("doc_id").alias("class_id")).unionAll(classes.select("class_id"))
-    return ends.unionAll(none.withColumn("k", F.lit(0).cast("long"))).groupBy("class_id").agg(F.sum("k").alias("n_links"))
+    return _class_links(placed, percent, counts=True).unionAll(none.withColumn("k", F.lit(0).cast("long"))).groupBy("class_id").agg(F.sum("k").alias("n_links"))
 
 
 def _told(ids: DataFrame, classes: DataFrame) -> DataFrame:
