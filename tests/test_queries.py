@@ -91,3 +91,19 @@ def test_choice_edges(spark):
     assert choices.composite_choices(docs.where("doc_id < 4"), strata=1).count() == 0
     mcq = spark.createDataFrame([(1, "x", "x|y", 0), (1, "x", "y|y", 5), (2, None, None, None)], "row_id long, answer string, choices string, position long")
     assert choices.audit_choices(mcq).first().asDict() == {"n": 3, "answer_missing": 1, "repeated_choices": 1, "wrong_gold": 1, "repeated_ids": 1}
+
+
+def test_short_anchors_get_their_choices(spark):
+    from veridata.operators import choices
+
+    texts = ["one two", "one two", "one two", "a b c d e f", "a b c d e f", *[f"w{i} " * 15 for i in range(4)], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in choices.bucket_choices_whole(docs).collect():
+        got.setdefault(r.doc_id, {})[r.n] = r.distractor
+    assert set(got) == set(range(9))
+    for i, c in got.items():
+        assert sorted(c) == [1, 2, 3] and len({texts[x] for x in c.values()} | {texts[i]}) == 4
+    assert all(texts[got[i][1]] == "a b c d e f" for i in range(3))  # the nearest bucket comes first
+    few = docs.where("doc_id < 5")
+    assert sorted(tuple(r) for r in choices.choice_shortfall(few, choices.bucket_choices_whole(few)).collect()) == [(i, 2) for i in range(5)]

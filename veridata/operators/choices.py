@@ -32,6 +32,33 @@ def bucket_choices(docs: DataFrame, attempts: int = 6, wrong: int = 3) -> DataFr
     return first.withColumn("n", n).where(F.col("n") <= wrong).select("doc_id", F.col("n").cast("int").alias("n"), F.col("f.other").alias("distractor"))
 
 
+def bucket_choices_whole(docs: DataFrame, attempts: int = 6, wrong: int = 3) -> DataFrame:
+    """``bucket_choices``, and for anchors that it leaves short the choices that are missing: of each bucket, the nearest
+    first, as many distinct texts from a hashed place on as must hold ``wrong`` new ones, or all the bucket has. An anchor
+    is only left short if the whole table has too few distinct texts; ``choice_shortfall`` lists it."""
+    first = bucket_choices(docs, attempts, wrong)
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2(spoken_key("text"), 256).alias("k"), word_bucket(F.size(F.split(F.trim("text"), r"\s+"))).alias("bucket"))
+    number = F.create_map(*[F.lit(x) for i, b in enumerate(("01-05", "06-10", "11-20", "21-40", "41-80", "81+")) for x in (b, i)])
+    taken = first.join(rows.select(F.col("doc_id").alias("distractor"), F.col("k").alias("ok")), "distractor").groupBy("doc_id").agg(F.count("*").alias("have"), F.collect_list("ok").alias("used"))
+    short = rows.join(taken, "doc_id", "left").where(F.coalesce("have", F.lit(0)) < wrong).select("doc_id", F.coalesce("have", F.lit(0)).alias("have"), F.array_append(F.coalesce("used", F.array().cast("array<string>")), F.col("k")).alias("used"), number[F.col("bucket")].alias("own"))
+    # a text of several buckets, by its spacing, counts in one of them
+    pool = rows.groupBy("k").agg(F.min(F.struct("doc_id", "bucket")).alias("f")).select("k", F.col("f.doc_id").alias("other"), number[F.col("f.bucket")].alias("b"))
+    pool = pool.withColumn("ord", (F.row_number().over(Window.partitionBy("b").orderBy("other")) - 1).cast("long"))
+    sizes = pool.groupBy("b").agg(F.count("*").alias("size"))
+    # up to ``wrong`` places hold the anchor's own text or one it has
+    probes = short.join(F.broadcast(sizes)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.least("size", F.lit(2 * wrong)) - 1))).withColumn("ord", (hash_int(F.lit("more"), "doc_id") + F.col("j")) % F.col("size"))
+    met = probes.join(pool, ["b", "ord"]).where(~F.array_contains("used", F.col("k")))
+    n = F.col("have") + F.row_number().over(Window.partitionBy("doc_id").orderBy(F.abs(F.col("b") - F.col("own")), "b", "j"))
+    more = met.withColumn("n", n).where(F.col("n") <= wrong).select("doc_id", F.col("n").cast("int").alias("n"), F.col("other").alias("distractor"))
+    return first.unionAll(more)
+
+
+def choice_shortfall(docs: DataFrame, chosen: DataFrame, wrong: int = 3) -> DataFrame:
+    """doc_id, missing: anchors with fewer than ``wrong`` choices."""
+    have = chosen.groupBy("doc_id").agg(F.count("*").alias("have"))
+    return docs.where(F.col("text").isNotNull()).select("doc_id").join(have, "doc_id", "left").select("doc_id", (F.lit(wrong) - F.coalesce("have", F.lit(0))).alias("missing")).where("missing > 0")
+
+
 def template_by_hash(df: DataFrame, key: str, templates: int) -> DataFrame:
     return df.select(F.col(key).alias("row_id"), (hash_int(F.lit("template"), key) % templates).cast("int").alias("template"))
 
