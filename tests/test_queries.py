@@ -107,3 +107,9 @@ def test_short_anchors_get_their_choices(spark):
     assert all(texts[got[i][1]] == "a b c d e f" for i in range(3))  # the nearest bucket comes first
     few = docs.where("doc_id < 5")
     assert sorted(tuple(r) for r in choices.choice_shortfall(few, choices.bucket_choices_whole(few)).collect()) == [(i, 2) for i in range(5)]
+
+
+def test_composite_takes_all_languages(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    a = QUERIES["q_mcq_composite_all"](spark, SF).select("a").withColumnRenamed("a", "doc_id")
+    assert {r.lang for r in d.join(a, "doc_id").select("lang").distinct().collect()} == {r.lang for r in d.where("text is not null").select("lang").distinct().collect()}

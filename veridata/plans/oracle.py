@@ -142,3 +142,5 @@ ORACLES: dict[str, str] = {
 ORACLES["q_audit_mcq"] = f"""WITH m AS ({ORACLES['q_mcq_distractors_fixed']}), s AS (SELECT 'sound' AS of, * FROM m UNION ALL SELECT 'faulty', row_id, CASE WHEN row_id % 11 = 0 THEN 'NOWHERE' ELSE answer END, choices, CASE WHEN row_id % 7 = 0 THEN (position + 1) % 4 ELSE position END FROM (SELECT row_id, answer, choices, position FROM m UNION ALL SELECT row_id, answer, choices, position FROM m WHERE row_id % 100 = 0)),
   c AS (SELECT *, string_split(choices, '|') AS l FROM s), i AS (SELECT of, count(*) AS repeated_ids FROM (SELECT of, row_id FROM s GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1)
   SELECT c.of, count(*) AS n, count(*) FILTER (NOT list_contains(l, answer)) AS answer_missing, count(*) FILTER (len(list_distinct(l)) < len(l)) AS repeated_choices, count(*) FILTER (l[position + 1] IS DISTINCT FROM answer) AS wrong_gold, coalesce(any_value(i.repeated_ids), 0) AS repeated_ids FROM c LEFT JOIN i ON c.of = i.of GROUP BY c.of"""
+#: The composite choices over all documents.
+ORACLES["q_mcq_composite_all"] = ORACLES["q_mcq_composite"].replace("lang = 'en' AND ", "")

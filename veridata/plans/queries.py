@@ -302,6 +302,11 @@ def q_mcq_composite(s, d):
     return choices.composite_choices(table(s, d, "documents").where("lang = 'en'"))
 
 
+@query
+def q_mcq_composite_all(s, d):
+    return choices.composite_choices(table(s, d, "documents"))
+
+
 @query
 def q_audit_mcq(s, d):
     sound = q_mcq_distractors_fixed(s, d)
