@@ -113,3 +113,13 @@ def test_composite_takes_all_languages(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     a = QUERIES["q_mcq_composite_all"](spark, SF).select("a").withColumnRenamed("a", "doc_id")
     assert {r.lang for r in d.join(a, "doc_id").select("lang").distinct().collect()} == {r.lang for r in d.where("text is not null").select("lang").distinct().collect()}
+
+
+def test_short_items_contaminate(spark):
+    from veridata.operators import sets
+
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    items = spark.createDataFrame([(n, " ".join(words[:n])) for n in range(1, 9)] + [(20, "absent"), (21, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " + " ".join(words) + " y"), (2, "xalphax"), (3, "alpha beta gamma"), (4, None)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in sets.contains_reserved(docs, items).collect())
+    assert got == [(1, n) for n in range(1, 9)] + [(2, 1), (3, 1), (3, 2), (3, 3)]
