@@ -85,6 +85,15 @@ def test_pieces(docs, none):
     assert piece_codec.piece_report(none, model).count() == 0
 
 
+def test_pipeline_gives_ids(spark, docs):
+    import corpus_pipeline
+
+    c = piece_codec.PieceCodec(tokenizer_path("piece_bpe_32k.model"))
+    for r in corpus_pipeline.encode(spark, docs, "").collect():
+        assert r.ids == c.sp.encode(TEXTS[r.doc_id] or "") and r.n_tokens == len(r.ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+
+
 def test_lm(docs, none):
     got = {r.doc_id: r for r in lm_score.score_texts(docs).collect()}
     c, pairs, toks = Counter(), Counter(), {}

@@ -18,6 +18,7 @@ import re
 from array import array
 
 import ahocorasick
+import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -198,3 +199,19 @@ def piece_report(docs: DataFrame, model: str) -> DataFrame:
         return one
 
     return per_document(docs, row, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_report(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, the ids of each whole text, and the columns of ``piece_report`` beside them; a narrow scan."""
+
+    def row():
+        c, sha = codec(model), hashlib.sha256
+
+        def one(t: str) -> tuple:
+            ids = c.encode(t)
+            # four bytes an id until the batch is written
+            return np.array(ids, np.int32), len(ids), sha(",".join([c.decimal[i] for i in ids]).encode()).hexdigest(), sha(c.decode(ids).encode()).hexdigest()
+
+        return one
+
+    return per_document(docs, row, "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
