@@ -173,20 +173,43 @@ def test_ngram_nulls(spark):
     assert got == [(-1, -1), (1, 1), (1, 1), (2, 2)]
 
 
-def test_topk(spark):
+def brute_topk(rows, k=5):
+    q = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (i, v) in enumerate(q):
+        if i % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for m, (j, w) in enumerate(q) if m != n)[:k]
+            out += [(i, r + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
+def topk(spark, rows, **more):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"label": F.lit(1), "n": F.lit("clash"), "v": F.lit(2)})
+    return sorted(tuple(r) for r in pivot_search.top_inner_products(df, **more).collect())
+
+
+@pytest.mark.parametrize("rows_a_segment", [20_000, 30])
+def test_topk(spark, rows_a_segment):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=8).astype(float).tolist()) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(20)]
-    rows += [(400, None), (401, [1.0, None] + [0.0] * 6), (402, [float("nan")] * 8), (403, [float("inf")] * 8)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
-    q = {i: [math.floor(256 * x) for x in v] for i, v in rows[:320]}
-    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in pivot_search.top_inner_products(df).collect()}
-    want = {}
-    for i in q:
-        if i % 50 == 0:
-            best = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:5]
-            want.update({(i, k + 1): (j, -s) for k, (s, j) in enumerate(best)})
-    assert got == want
-    assert pivot_search.top_inner_products(df.where("vec_id < 0")).count() == 0
+    rows += [(400, None), (401, [1.0, None] + [0.0] * 6), (402, [float("nan")] * 8), (403, [float("inf")] * 8), (None, [1.0] * 8)]
+    rows += [(450, [2.0, 1.0]), (451, []), (500, [0.25] * 12)]
+    assert topk(spark, rows, segment_rows=rows_a_segment) == brute_topk(rows)
+    assert topk(spark, rows[:0]) == [] and topk(spark, [(0, [1.0])]) == []
+
+
+def test_topk_repeated_rows(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [3.0, -1.0]), (1, [0.5, 0.5]), (2, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [0.0, 0.0]), (50, [-0.0, 1.0]), (50, [0.0, 1.0])]
+    assert topk(spark, rows) == brute_topk(rows)
+    assert topk(spark, [(0, [1.0])] * 9) == brute_topk([(0, [1.0])] * 9)
+
+
+def test_topk_large_values(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=6) * 1e8).round(3).tolist()) for i in range(120)] + [(200 + i, [1e8, 1.0, 0.0, 0.0, 0.0, i / 256]) for i in range(30)]
+    assert topk(spark, rows) == brute_topk(rows)
+    rows = [(i, [x, 1.0]) for i, x in enumerate([1e300, -1e300, 3.0, 1e300, 5e299])]
+    assert topk(spark, rows) == brute_topk(rows)
 
 
 def test_blocks():
