@@ -208,7 +208,8 @@ def top_inner_products(vectors: DataFrame, k: int = K, every: int = EVERY, vec_i
     sample = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).select("id", "v").toArrow()
     index = PivotIndex(_matrix(sample["v"].combine_chunks(), width), sample["id"].to_numpy(), largest, k)
     unit = F.lit(index.unit)
-    index.fit(rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x * unit) * (x * unit)))).first()[0])
+    bands_each = max(1, min(BANDS, math.ceil(max(2 * spark.sparkContext.defaultParallelism, n / segment_rows) / PIVOTS)))
+    index.fit(rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x * unit) * (x * unit)))).first()[0], bands=bands_each)
 
     def keyed(batches):
         for b in batches:
