@@ -133,9 +133,9 @@ def brute_components(texts):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("chunk", [4_000_000, 300])
-def test_ngram_join(docs, none, chunk):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs, chunk_grams=chunk).collect()}
+@pytest.mark.parametrize(("chunk", "rows", "hot"), [(4_000_000, 256, 1000), (300, 256, 1000), (4_000_000, 3, 1), (4_000_000, 256, 12)])
+def test_ngram_join(docs, none, chunk, rows, hot):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs, chunk_grams=chunk, chunk_rows=rows, hot_classes=hot).collect()}
     assert got == brute_components(TEXTS)
     assert ngram_join.ngram_components(none).count() == 0
 
@@ -167,6 +167,21 @@ def test_ngram_links_statement(spark):
     assert got == sorted(c.sql(sql.ORACLES["op4_ngram_links"]).fetchall())
 
 
+@pytest.mark.parametrize("rows", [256, 5])
+def test_ngram_chains_and_apart_texts(spark, rows):
+    """A chain, in which each text only links with its neighbours, a dense group, and texts that share much and link with none."""
+    r = random.Random(21)
+    line = [f"w{i}" for i in range(400)]
+    texts = [" ".join(line[6 * i : 6 * i + 100]) for i in range(30)]
+    stock = [" ".join(f"s{r.randrange(10**6)}" for _ in range(30)) for _ in range(4)]
+    texts += [" ".join([*stock, *(f"o{r.randrange(10**6)}" for _ in range(55))]) for _ in range(25)]
+    texts += [" ".join(["dense"] * r.randint(0, 3) + line[:60]) for _ in range(12)]
+    r.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.ngram_components(df, chunk_rows=rows).collect()}
+    assert got == brute_components(texts)
+
+
 def test_ngram_nulls(spark):
     df = spark.createDataFrame([(None, BASE), (1, BASE), (1, BASE), (2, None)], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in ngram_join.ngram_components(df).collect())
@@ -328,6 +343,46 @@ def test_language_accuracy(spark):
     assert r[0] > 0.97 and r[1] >= 0 and r[2] <= 1
 
 
+def brute_language(sample, text):
+    """The label by the definition alone: longest substrings of the sampled words, one behind the other."""
+    words = [w.lower() for w in re.findall(r"[^\W\d_]+", (text or "").lower()) if w.isalpha()]
+    if not words or not sample:
+        return "und", 0.0
+    bits = {}
+    for label, known in sample:
+        subs = {f" {w} "[i:j] for w in known for i in range(len(w) + 2) for j in range(i + 1, len(w) + 3)}
+        n = 0
+        for w in words:
+            s, i = f" {w} ", 0
+            while i < len(s):
+                j = i + 1
+                while j < len(s) and s[i : j + 1] in subs:
+                    j += 1
+                n, i = n + 1, j
+        bits[label] = n * math.log2(sum(len(w) + 2 for w in known) + 2) / sum(len(w) + 2 for w in words)
+    best, *rest = sorted((b, k) for k, b in bits.items())
+    return best[1], 1 - best[0] / rest[0][0] if rest else 1.0
+
+
+def test_language_against_definition(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sample = lang_id.learn_sample(d, train_docs=20, train_words=300)
+    texts = {r.doc_id: r.text for r in d.collect()}
+    for r in lang_id.predict_languages(d, sample=sample).collect():
+        label, score = brute_language(sample, texts[r.doc_id])
+        assert r.lang_pred == label and math.isclose(r.score, score, abs_tol=1e-9), r
+
+
+def test_language_ties_numerals_and_labels(spark):
+    both = (("de", ("ab",)), ("en", ("ab",)))
+    rows = [(1, "ab"), (2, "½ ² Ⅷ"), (3, "½ab²"), (4, "١٢ 三"), (None, "ab"), (1, "ab"), (5, "12 _ !")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(None).cast("string"), "score": F.lit("clash"), "bits": F.lit(1)})
+    got = [(r.doc_id, r.lang_pred, r.score) for r in lang_id.predict_languages(df, sample=both).collect()]
+    assert got == [(1, "de", 0.0), (2, "und", 0.0), (3, "de", 0.0), (4, got[3][1], got[3][2]), (None, "de", 0.0), (1, "de", 0.0), (5, "und", 0.0)] and got[3][1] == "de"
+    assert {r.lang_pred for r in lang_id.predict_languages(df).collect()} == {"und"}  # every label is null
+    assert lang_id.keep_identified(df).count() == 0
+
+
 def test_language_edges(docs, none):
     got = {r.doc_id: r for r in lang_id.predict_languages(docs).collect()}
     assert len(got) == len(TEXTS) and {got[i].lang_pred for i in (0, 1, 2)} == {"und"}
@@ -379,7 +434,7 @@ def test_pipeline(spark):
         assert docs.columns == d.columns, name
     ids = {r.doc_id for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id").collect()}
     texts = {r.doc_id: r.text for r in d.collect()}
-    left = {i for i, t in texts.items() if t and re.search(r"[^\W\d_]", t)}
+    left = {i for i, t in texts.items() if t and any(map(str.isalpha, t))}
     order = sorted(left)
     comp = brute_components([texts[i] for i in order])
     left = {order[i] for i, (_, c) in comp.items() if i == c}

@@ -27,6 +27,7 @@ import re
 from array import array
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,15 @@ FOLDS, HELD = 4, 2
 LIMIT_FOLD, LIMIT_DOCS, LIMIT_LEAST = 1, 1000, 100
 SLACK = 0.1
 NONE = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD, _LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters of a text, as it stands; numerals such as fractions and Roman ones are no letters."""
+    found = _WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [x for w in found for x in ([w] if w.isalpha() else _LETTERS.findall(w))]
 
 
 class SuffixAutomaton:
@@ -124,7 +133,7 @@ class CrossParser:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Label, score (how far the runner-up's entropy lies above the winner's, 0 to 1), the winner's bits per sign."""
-        words = _WORD.findall(text.lower()) if text else []
+        words = words_of(text.lower()) if text else []
         if not words or not self.labels:
             return NONE, 0.0, 0.0
         get, miss = self.table.get, self._word
@@ -139,7 +148,7 @@ class CrossParser:
         label, score, _ = self.predict(text)
         if label == NONE:
             return label, score, 0.0
-        at, kinds = self.labels.index(label), set(_WORD.findall(text.lower()))
+        at, kinds = self.labels.index(label), set(words_of(text.lower()))
         phrases = sum(memoryview(self.table.get(w) or self._word(w)).cast("I")[at] for w in kinds)
         bits = phrases * float(self.weight[at]) / (sum(map(len, kinds)) + 2 * len(kinds))
         return label, score, bits / (1 + 1 / math.sqrt(len(kinds)))
@@ -152,7 +161,8 @@ def _few_of_each(docs: DataFrame, each: int) -> DataFrame | None:
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))])
-    return learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (share[F.col("lang")] * (1 << 20)))
+    # 52 bits of the hash: the share of a label's texts may be as small as a double can tell
+    return learn.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 12) < (share[F.col("lang")] * (1 << 52)))
 
 
 def learn_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, folds: int = FOLDS, held: int = HELD, spare: int | None = None) -> tuple[tuple[str, tuple[str, ...]], ...]:
