@@ -3,8 +3,9 @@
 Documents are dealt to blocks of bounded text by a hash of their content. A block sends the sorted distinct keys of its
 documents, pre-aggregated, to the fragments: P equal ranges of the global key order. A fragment combines what all blocks
 sent and answers each block key by key; the block, which makes its keys again from the same texts, reads the answers in
-order. A key that a third of all documents share is one entry a block, so no task gathers its rows. The same exchange
-of texts serves both visits to the block. The keys a block makes depend on the set of its rows alone, so a recomputed
+order. A key that a third of all documents share is one entry a block, so no task gathers its rows. Only ranges that hold
+a key of the block are sent, so there is at most one row a key, however many blocks and fragments there are. Blocks and
+fragments are dealt to tasks by their number, one a task. The same exchange of texts serves both visits to the block. The keys a block makes depend on the set of its rows alone, so a recomputed
 task after a loss sends and reads the same.
 """
 
@@ -75,7 +76,13 @@ def blocked(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame,
     """(block, doc_id, text) dealt by block, and the number of blocks."""
     docs = id_text(docs)
     n = parts_for(docs.sparkSession, text_bytes(docs), block_bytes)
-    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block"), n
+    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartitionById(n, "block"), n
+
+
+def held_cuts(keys: np.ndarray, fragments: int) -> list[tuple[int, int, int]]:
+    """(fragment, start, end) of the ranges that sorted keys fall into."""
+    edges = fragment_edges(keys, fragments)
+    return [(int(i), int(edges[i]), int(edges[i + 1])) for i in np.flatnonzero(edges[1:] > edges[:-1])]
 
 
 def _trimmed(f: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
@@ -98,42 +105,41 @@ def through_fragments(
     rows: DataFrame,
     n: int,
     keys_of: Callable[[pa.Table], tuple[np.ndarray, list[np.ndarray]]],
-    combine: Callable[[np.ndarray, list[np.ndarray]], tuple[list[np.ndarray], list[float]]],
-    finish: Callable[[pa.Table, list[np.ndarray], np.ndarray], pa.Table],
+    combine: Callable[[np.ndarray, list[np.ndarray]], list[np.ndarray]],
+    finish: Callable[[pa.Table, list[np.ndarray]], pa.Table],
     schema: str,
     sends: list[str],
     answers: list[str],
 ) -> DataFrame:
     """``keys_of`` a block: its sorted distinct keys and columns of the dtypes ``sends`` beside them. ``combine`` the keys
-    and columns that reached a fragment: an answer for each entry in columns of the dtypes ``answers``, and numbers that
-    describe the fragment. ``finish`` a block: its table, the answers for its keys, and the fragments' numbers summed."""
+    and columns that reached a fragment: an answer for each entry in columns of the dtypes ``answers``. ``finish`` a block: its
+    table and the answers for its keys."""
 
     def up(table: pa.Table) -> pa.Table:
         if _KEPT:
             release()
         keys, cols = keys_of(table)
-        edges = fragment_edges(keys, n)
-        cut = lambda a: [a[edges[i] : edges[i + 1]].tobytes() for i in range(n)]
-        data = [pa.array(np.arange(n), pa.int32()), pa.array([table["block"][0].as_py()] * n, pa.int32()), pa.array(cut(keys), pa.binary())]
-        return pa.table(data + [pa.array(cut(np.asarray(c, t)), pa.binary()) for c, t in zip(cols, sends, strict=True)], names=["fragment", "block", "keys", *(f"c{i}" for i in range(len(sends)))])
+        cuts = held_cuts(keys, n)
+        cut = lambda a: pa.array([a[x:y].tobytes() for _, x, y in cuts], pa.binary())
+        data = [pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), cut(keys)]
+        return pa.table(data + [cut(np.asarray(c, t)) for c, t in zip(cols, sends, strict=True)], names=["fragment", "block", "keys", *(f"c{i}" for i in range(len(sends)))])
 
     def across(table: pa.Table) -> pa.Table:
         read = lambda name, t: [np.frombuffer(x.as_py(), t) for x in table[name]]
         parts = read("keys", np.uint64)
         cols = [np.concatenate(read(f"c{i}", t)) for i, t in enumerate(sends)]
         edges = np.cumsum([0, *map(len, parts)])
-        out, facts = combine(np.concatenate(parts), cols)
+        out = combine(np.concatenate(parts), cols)
         cut = lambda a: [a[edges[i] : edges[i + 1]].tobytes() for i in range(len(parts))]
-        data = [table["block"].combine_chunks(), table["fragment"].combine_chunks(), pa.array([facts] * len(parts), pa.list_(pa.float64()))]
-        return pa.table(data + [pa.array(cut(np.asarray(a, t)), pa.binary()) for a, t in zip(out, answers, strict=True)], names=["block", "fragment", "facts", *(f"a{i}" for i in range(len(answers)))])
+        data = [table["block"].combine_chunks(), table["fragment"].combine_chunks()]
+        return pa.table(data + [pa.array(cut(np.asarray(a, t)), pa.binary()) for a, t in zip(out, answers, strict=True)], names=["block", "fragment", *(f"a{i}" for i in range(len(answers)))])
 
     def down(table: pa.Table, told: pa.Table) -> pa.Table:
         order = np.argsort(told["fragment"].to_numpy())
-        got = [np.concatenate([np.frombuffer(told[f"a{i}"][int(k)].as_py(), t) for k in order]) for i, t in enumerate(answers)]
-        facts = np.array([told["facts"][int(k)].as_py() for k in order], float).sum(axis=0)
-        return finish(table, got, facts)
+        got = [np.concatenate([*(np.frombuffer(told[f"a{i}"][int(k)].as_py(), t) for k in order), np.empty(0, t)]) for i, t in enumerate(answers)]
+        return finish(table, got)
 
     binaries = lambda p, k: "".join(f", {p}{i} binary" for i in range(k))
     sent = rows.groupBy("block").applyInArrow(_trimmed(up), "fragment int, block int, keys binary" + binaries("c", len(sends)))
-    told = sent.repartition(n, "fragment").groupBy("fragment").applyInArrow(_trimmed(across), "block int, fragment int, facts array<double>" + binaries("a", len(answers)))
-    return rows.groupBy("block").cogroup(told.repartition(n, "block").groupBy("block")).applyInArrow(_trimmed(down), schema)
+    told = sent.repartitionById(n, "fragment").groupBy("fragment").applyInArrow(_trimmed(across), "block int, fragment int" + binaries("a", len(answers)))
+    return rows.groupBy("block").cogroup(told.repartitionById(n, "block").groupBy("block")).applyInArrow(_trimmed(down), schema)

@@ -1,6 +1,6 @@
 """Scores texts with a smoothed n-gram model read as a weighted backoff automaton.
 
-Model (two-word contexts, counts of the whole training part of the corpus, nothing pruned):
+Model (word pairs, counts of the whole training part of the corpus, nothing pruned):
   unigram  p(w)   = (c(w) + A) / (N + A * (V + 1))
   bigram   p(w|v) = (c(v,w) + M * p(w)) / (c(v) + M)
 States are the words seen as contexts, and a root. The state of v has an arc for each seen pair (v, w) that weighs
@@ -9,7 +9,8 @@ weighs log10 p(w), unknown words included. A text is read once from left to righ
 the weights of the arcs taken. The probabilities of all words after any context sum to 1.
 
 An automaton for the whole corpus grows with it, so no task holds it: a block of texts gets the arcs its own n-grams can
-take, with exact corpus-wide counts, through the fragment exchange of ``_blocks``. Words are keyed by 64-bit hashes.
+take, with exact corpus-wide counts, through the fragment exchange of ``_blocks``. Words and pairs are keyed by 63-bit hashes:
+of 10^12 distinct pairs, about 54,000 share a key with another and get both counts. N and V are counted from the words.
 
 Tokens: words of ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, then one end token. Null or empty text is the end
 token alone. Repeated rows count as often as they occur. An empty table gives no rows.
@@ -22,6 +23,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._blocks import BLOCK_BYTES, blocked, distinct, mix, through_fragments, word_keys
 
@@ -83,12 +85,24 @@ def _grams(table: pa.Table):
     return tok, sizes, first, keys[order], place[: len(words)], place[len(words) :], word_at, pair_at
 
 
+def corpus_size(docs: DataFrame, folds: int = FOLDS) -> tuple[int, int]:
+    """N and V: tokens and distinct tokens of the training texts, ends included; distinct words meet map-side combined."""
+    learnt = docs.where(~F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % folds == 0, F.lit(False)))
+    plain = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # an empty word stands for the end token: one a text
+    words = F.concat(F.array_remove(F.split(plain, r"[\x20\x09-\x0D]+"), ""), F.array(F.lit("")))
+    per = learnt.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("c"))
+    total, kinds = per.agg(F.sum("c"), F.count("*")).first()
+    return total or 0, kinds
+
+
 def score_texts(docs: DataFrame, folds: int = FOLDS, add: float = ADD, mass: float = CONTEXT_MASS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, model_bits (bits per token) of all texts.
 
     The model learns from documents whose crc32 of the id's text is not 0 modulo ``folds`` (a null id is learnt from).
     """
     rows, n = blocked(docs, block_bytes)
+    total, kinds = corpus_size(docs, folds)
 
     def keys_of(table: pa.Table):
         tok, sizes, _, keys, word_place, pair_place, word_at, pair_at = _grams(table)
@@ -100,13 +114,10 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, add: float = ADD, mass: flo
 
     def combine(keys: np.ndarray, cols: list[np.ndarray]):
         kinds, place = distinct(keys)
-        total = np.bincount(place, weights=cols[0], minlength=len(kinds))
-        word = (kinds & _ONE) == 0
-        return [total[place]], [float(total[word].sum()), float((total[word] > 0).sum())]
+        return [np.bincount(place, weights=cols[0], minlength=len(kinds))[place]]
 
-    def finish(table: pa.Table, told: list[np.ndarray], facts: np.ndarray) -> pa.Table:
+    def finish(table: pa.Table, told: list[np.ndarray]) -> pa.Table:
         tok, sizes, first, _, word_place, pair_place, word_at, pair_at = _grams(table)
-        total, kinds = facts
         count = told[0].astype(float)
         word_count, pair_count = count[word_place], count[pair_place]
         states = np.empty(len(tok), np.int64)

@@ -14,9 +14,10 @@ Khmer, Burmese) are words of their own. A word of over MIN_RUN bytes is taken in
 over the bytes (each byte adds its table value and shifts the rest by two bits), and a chunk ends where it is smallest
 within ``REACH`` bytes on both sides, or after ``LONGEST`` bytes, never inside a character; each chunk counts as a word.
 
-A repeated word stays in the first document with its window (smallest doc_id) and goes from the others. Null or empty
-texts have no words. Rows with a null doc_id are compared as if the id were the largest. Repeated rows with one doc_id
-count as one document. An empty table gives no rows.
+A repeated word stays in the first document with its window (smallest doc_id) and goes from the others. A passage that
+only repeats inside one document is no repeat across documents: it is not sought. All rows with one doc_id are that
+document, so equal rows keep their texts; all rows with a null doc_id are one document too, as if its id were the largest.
+Null or empty texts have no words. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._blocks import _KEPT, BLOCK_BYTES, _trimmed, blocked, distinct, fragment_edges, mix, release
+from ._blocks import _KEPT, BLOCK_BYTES, _trimmed, blocked, distinct, held_cuts, mix, release
 
 WINDOW, REACH, LONGEST, MIN_RUN = 16, 14, 256, 128
 #: A passage has this many words at least; any such passage holds the same smallest PART-word piece in all its copies.
@@ -172,9 +173,9 @@ def _by_key(keys: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 def _sent(table: pa.Table, n: int, keys: np.ndarray, least: np.ndarray, many: np.ndarray) -> pa.Table:
-    edges = fragment_edges(keys, n)
-    cut = lambda a: pa.array([a[edges[i] : edges[i + 1]].tobytes() for i in range(n)], pa.binary())
-    return pa.table([pa.array(np.arange(n), pa.int32()), pa.array([table["block"][0].as_py()] * n, pa.int32()), cut(keys), cut(least), cut(many)], names=["fragment", "block", "keys", "least", "many"])
+    cuts = held_cuts(keys, n)
+    cut = lambda a: pa.array([a[x:y].tobytes() for _, x, y in cuts], pa.binary())
+    return pa.table([pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), cut(keys), cut(least), cut(many)], names=["fragment", "block", "keys", "least", "many"])
 
 
 def _among(keys: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,8 +275,8 @@ def repeated_passages(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
     sends, answers = "fragment int, block int, keys binary, least binary, many binary", "block int, fragment int, keys binary, first binary"
 
     def met(sent: DataFrame) -> DataFrame:
-        told = sent.repartition(n, "fragment").groupBy("fragment").applyInArrow(_trimmed(_across), answers)
-        return told.repartition(n, "block")
+        told = sent.repartitionById(n, "fragment").groupBy("fragment").applyInArrow(_trimmed(_across), answers)
+        return told.repartitionById(n, "block")
 
     maybe = met(rows.groupBy("block").applyInArrow(_trimmed(name), sends))
     again = met(rows.groupBy("block").cogroup(maybe.groupBy("block")).applyInArrow(_trimmed(match), sends))
