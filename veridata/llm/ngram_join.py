@@ -11,15 +11,19 @@
    fragment by fragment and summed per pair, and a pair is given up when what is left can't reach the threshold. The
    search walks each component from document to document and only looks among those not yet reached, so a large group of
    near copies costs its size times a few, not its square, and no link between two components is missed.
-4. A cluster with more n-grams than one task should hold is dealt at random into chunks, twice; what stays apart from the
-   cluster's largest component is then compared, chunk by chunk, with the whole cluster.
+4. A cluster with more classes or n-grams than one task should hold is dealt at random into chunks, twice. What then
+   stays apart from the cluster's largest component is dealt into chunks of its own, and each meets those chunks of the
+   cluster that hold a class of a common list, of both sides only the classes that share a list with the other: no task
+   holds more than two chunks, and where links are few, few chunks meet.
 
 ``ngram_links`` gives every link between classes: it stops at 2 and counts the overlap of each pair of a cluster's classes
 that share an n-gram, chunk against chunk where a cluster has several. A group of k linked classes has up to k (k - 1) / 2
 links, so its work and rows grow with the square of the largest group. ``link_counts`` does the same work, but gives one
 number a class. Components and the pipeline need neither.
 
-The order is by (magnitude of the document count, hash). N-grams are keyed by 64-bit hashes.
+The order is by (magnitude of the document count, hash). N-grams are keyed by 64-bit hashes. Two n-grams of one key
+that stand in different clusters only make a document a candidate; a decision could only turn on a shared key inside one
+document or one pair, about 10^-7 of documents of a million n-grams.
 
 Words: ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. Fewer words than n: the whole sequence is one n-gram. Null, empty
 and blank texts have no n-grams and are components of their own. Repeated rows, and rows that
@@ -42,8 +46,8 @@ from ._common import ensure_checkpoint_dir
 from ._graph import connected_components
 
 N, PERCENT = 5, 80
-#: N-grams that one task holds of a cluster at once (32 MB of keys).
-CHUNK_GRAMS = 4_000_000
+#: N-grams (32 MB of keys) and classes that one task holds of a cluster at once.
+CHUNK_GRAMS, CHUNK_ROWS = 4_000_000, 256
 #: Bound on the classes that are broadcast: those with over one in so many of the documents.
 HOT_CLASSES = 1000
 #: Parts of the n-gram order in which a pair's overlap is counted.
@@ -179,9 +183,9 @@ def _gather(docs: DataFrame, n: int, percent: int, block_bytes: int) -> DataFram
     def combine(keys: np.ndarray, cols: list[np.ndarray]):
         kinds, place = distinct(keys)
         total = np.bincount(place, weights=cols[0], minlength=len(kinds))
-        return [np.ceil(np.log2(np.maximum(total, 1)))[place]], [0.0]
+        return [np.ceil(np.log2(np.maximum(total, 1)))[place]]
 
-    def finish(table: pa.Table, told: list[np.ndarray], facts: np.ndarray) -> pa.Table:
+    def finish(table: pa.Table, told: list[np.ndarray]) -> pa.Table:
         every, sizes = sets(table)
         magnitude = told[0][distinct(every)[1]]
         out, at = [], 0
@@ -224,8 +228,8 @@ def _searched(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return groups.select(*keys, "doc_id", "n_shingles", "shared", "known").groupBy(*keys).applyInArrow(run, "doc_id long, component long")
 
 
-def _links_in_large(large: DataFrame, percent: int) -> DataFrame:
-    """Edges between members of clusters of several chunks: rows (cluster, chunks, doc_id, n_shingles, shared)."""
+def _links_in_large(large: DataFrame, percent: int, chunk_grams: int, chunk_rows: int) -> DataFrame:
+    """Edges between members of clusters of several chunks: rows (cluster, chunks, doc_id, n_shingles, shared, prefix)."""
     edges = None
     for turn in range(2):
         dealt = large.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(turn)), "chunks")).withColumn("known", F.lit(None).cast("long"))
@@ -236,18 +240,28 @@ def _links_in_large(large: DataFrame, percent: int) -> DataFrame:
     known = large.join(so_far, large["doc_id"] == so_far["node"], "left").select(large["*"], F.coalesce("component", "doc_id").alias("known"))
     count = known.groupBy("cluster", "known").agg(F.count("*").alias("n"))
     main = count.groupBy("cluster").agg(F.max_by("known", F.struct("n", "known")).alias("main"))
-    known = known.join(main, "cluster").checkpoint()
-    # what is not in the largest component meets every chunk once; few rows, as two random deals have joined dense groups
-    apart = known.where("known <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    everyone = known.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(0)), "chunks"))
-    met = apart.select("cluster", "chunk", "doc_id", "n_shingles", "shared", "known").unionAll(everyone.select("cluster", "chunk", "doc_id", "n_shingles", "shared", "known")).dropDuplicates(["cluster", "chunk", "doc_id"])
-    more = _searched(met, ["cluster", "chunk"], percent).select(F.col("doc_id").alias("a"), F.col("component").alias("b")).where("a <> b")
+    known = known.join(main, "cluster").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(0)), "chunks")).checkpoint()
+    apart = known.where("known <> main")
+    size = apart.groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows).alias("parts"))
+    apart = apart.join(size, "cluster").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), "parts"))
+    # linked classes stand in a common list, so a class is sent where a class of one of its lists is
+    of_part = apart.select("cluster", "part", "doc_id", F.explode("prefix").alias("gram"))
+    of_chunk = known.select("cluster", "chunk", "doc_id", F.explode("prefix").alias("gram"))
+    sent = of_part.join(of_chunk.select("cluster", "chunk", "gram").distinct(), ["cluster", "gram"]).select("cluster", "part", "chunk", "doc_id")
+    back = of_chunk.join(of_part.select("cluster", "part", "gram").distinct(), ["cluster", "gram"]).select("cluster", "part", "chunk", "doc_id")
+    met = sent.unionAll(back).distinct().join(known.select("doc_id", "n_shingles", "shared", "known"), "doc_id")
+    more = _searched(met, ["cluster", "part", "chunk"], percent).select(F.col("doc_id").alias("a"), F.col("component").alias("b")).where("a <> b")
     return edges.unionAll(more)
 
 
-def _clustered(docs: DataFrame, n: int, percent: int, chunk_grams: int, block_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _chunks(chunk_grams: int, chunk_rows: int):
+    """Into how many chunks a cluster's rows go."""
+    return F.greatest(F.ceil(F.sum(F.octet_length("shared")) / 8 / chunk_grams), F.ceil(F.count("*") / chunk_rows), F.lit(1).cast("long"))
+
+
+def _clustered(docs: DataFrame, n: int, percent: int, chunk_grams: int, block_bytes: int, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, n_shingles, digest) of all documents; (digest, class_id, n) of the classes that may link; and of those
-    that meet others (cluster, doc_id, n_shingles, shared, chunks)."""
+    that meet others (cluster, doc_id, n_shingles, shared, prefix, chunks)."""
     ensure_checkpoint_dir(docs.sparkSession)
     every = _gather(docs, n, percent, block_bytes).checkpoint()
     ids = every.select("doc_id", "n_shingles", "digest").checkpoint()  # what is read again below, without the n-grams
@@ -257,22 +271,22 @@ def _clustered(docs: DataFrame, n: int, percent: int, chunk_grams: int, block_by
     listed = heads.select("doc_id", F.explode("prefix").alias("gram"))
     least = listed.groupBy("gram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
     near = connected_components(listed.join(least, "gram").select(F.col("doc_id").alias("a"), "b"))
-    placed = heads.drop("prefix").join(near.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("component", "cluster")
-    volume = placed.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("shared")) / 8 / chunk_grams).alias("chunks"))
+    placed = heads.join(near.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("component", "cluster")
+    volume = placed.groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows).alias("chunks"))
     return ids, classes, placed.join(volume, "cluster").checkpoint()
 
 
-def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES, chunk_rows: int = CHUNK_ROWS, hot_classes: int = HOT_CLASSES) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id that links reach)."""
-    ids, classes, placed = _clustered(docs, n, percent, chunk_grams, block_bytes)
+    ids, classes, placed = _clustered(docs, n, percent, chunk_grams, block_bytes, chunk_rows)
     small = _searched(placed.where("chunks <= 1").withColumn("known", F.lit(None).cast("long")), ["cluster"], percent).select(F.col("doc_id").alias("node"), "component")
     large = placed.where("chunks > 1")
     if not large.isEmpty():
-        small = small.unionAll(connected_components(_links_in_large(large, percent)))
+        small = small.unionAll(connected_components(_links_in_large(large, percent, chunk_grams, chunk_rows)))
     # of rows that share a doc_id but not a set, a node has several
     small = small.groupBy("node").agg(F.min("component").alias("component"))
     told = classes.join(small, classes["class_id"] == small["node"], "left").select("digest", "n", "class_id", F.coalesce("component", "class_id").alias("component_id")).checkpoint()
-    return _told(ids, told)
+    return _told(ids, told, hot_classes)
 
 
 def _class_links(placed: DataFrame, percent: int, counts: bool = False) -> DataFrame:
@@ -309,19 +323,19 @@ def link_counts(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams
     return _class_links(placed, percent, counts=True).unionAll(none.withColumn("k", F.lit(0).cast("long"))).groupBy("class_id").agg(F.sum("k").alias("n_links"))
 
 
-def _told(ids: DataFrame, classes: DataFrame) -> DataFrame:
+def _told(ids: DataFrame, classes: DataFrame, hot_classes: int) -> DataFrame:
     """Each document with what its class was told: rows (digest, n, class_id, component_id), n the class's documents.
 
-    Copies of one text all have one digest. Classes with over 1/HOT_CLASSES of the documents, of which there are fewer
-    than HOT_CLASSES, are broadcast; only the rest meets by digest. Documents without a digest go straight through.
+    Copies of one text all have one digest. Classes with over 1/hot_classes of the documents, of which there are fewer
+    than hot_classes, are broadcast; only the rest meets by digest. Documents without a digest go straight through.
     """
     out = ["doc_id", "n_shingles", "class_id", "component_id"]
     bound = classes.agg(F.sum("n")).first()[0]
     alone = ids.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     if not bound:
         return alone
-    hot = classes.where(F.col("n") * HOT_CLASSES > bound).drop("n")
-    cold = classes.where(F.col("n") * HOT_CLASSES <= bound).drop("n")
+    hot = classes.where(F.col("n") * hot_classes > bound).drop("n")
+    cold = classes.where(F.col("n") * hot_classes <= bound).drop("n")
     member = ids.where("digest is not null")
     of_hot = member.join(F.broadcast(hot), "digest").select(out)
     of_cold = member.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(cold, "digest").select(out)
