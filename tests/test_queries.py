@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from veridata.plans.oracle import ORACLES
-from veridata.plans.queries import QUERIES
+from veridata.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import digest, hash_int, spoken_key, word_bucket
+from ..functions.places import placed_by_hash
 
 
 def fixed_universe_choices(df: DataFrame, key: str, gold: str, universe: DataFrame, wrong: int = 3) -> DataFrame:
@@ -18,39 +19,35 @@ def fixed_universe_choices(df: DataFrame, key: str, gold: str, universe: DataFra
     return rows.select(F.col(key).alias("row_id"), F.col(gold).alias("answer"), F.array_join("choices", "|").alias("choices"), (F.array_position("choices", F.col(gold)) - 1).alias("position"))
 
 
-def bucket_choices(docs: DataFrame, attempts: int = 6, wrong: int = 3) -> DataFrame:
-    """Distractor texts of the same word bucket by hashed positions: the first ``wrong`` of ``attempts`` probes whose
-    comparison key differs from the anchor's and from the ones before."""
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2(spoken_key("text"), 256).alias("k"), word_bucket(F.size(F.split(F.trim("text"), r"\s+"))).alias("bucket"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id")) - 1
-    rows = rows.withColumn("ord", place.cast("long"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"))
-    probes = rows.join(F.broadcast(sizes), "bucket").select("doc_id", "k", "bucket", "size", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("t")).withColumn("ord", hash_int("doc_id", "t") % F.col("size"))
-    met = probes.join(rows.select("bucket", "ord", F.col("doc_id").alias("other"), F.col("k").alias("ok")), ["bucket", "ord"]).where("ok <> k")
-    first = met.groupBy("doc_id", "ok").agg(F.min(F.struct("t", "other")).alias("f"))
-    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("f.t"))
-    return first.withColumn("n", n).where(F.col("n") <= wrong).select("doc_id", F.col("n").cast("int").alias("n"), F.col("f.other").alias("distractor"))
-
-
-def bucket_choices_whole(docs: DataFrame, attempts: int = 6, wrong: int = 3) -> DataFrame:
-    """``bucket_choices``, and for anchors that it leaves short the choices that are missing: of each bucket, the nearest
-    first, as many distinct texts from a hashed place on as must hold ``wrong`` new ones, or all the bucket has. An anchor
-    is only left short if the whole table has too few distinct texts; ``choice_shortfall`` lists it."""
-    first = bucket_choices(docs, attempts, wrong)
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.sha2(spoken_key("text"), 256).alias("k"), word_bucket(F.size(F.split(F.trim("text"), r"\s+"))).alias("bucket"))
-    number = F.create_map(*[F.lit(x) for i, b in enumerate(("01-05", "06-10", "11-20", "21-40", "41-80", "81+")) for x in (b, i)])
-    taken = first.join(rows.select(F.col("doc_id").alias("distractor"), F.col("k").alias("ok")), "distractor").groupBy("doc_id").agg(F.count("*").alias("have"), F.collect_list("ok").alias("used"))
-    short = rows.join(taken, "doc_id", "left").where(F.coalesce("have", F.lit(0)) < wrong).select("doc_id", F.coalesce("have", F.lit(0)).alias("have"), F.array_append(F.coalesce("used", F.array().cast("array<string>")), F.col("k")).alias("used"), number[F.col("bucket")].alias("own"))
-    # a text of several buckets, by its spacing, counts in one of them
-    pool = rows.groupBy("k").agg(F.min(F.struct("doc_id", "bucket")).alias("f")).select("k", F.col("f.doc_id").alias("other"), number[F.col("f.bucket")].alias("b"))
-    pool = pool.withColumn("ord", (F.row_number().over(Window.partitionBy("b").orderBy("other")) - 1).cast("long"))
-    sizes = pool.groupBy("b").agg(F.count("*").alias("size"))
-    # up to ``wrong`` places hold the anchor's own text or one it has
-    probes = short.join(F.broadcast(sizes)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.least("size", F.lit(2 * wrong)) - 1))).withColumn("ord", (hash_int(F.lit("more"), "doc_id") + F.col("j")) % F.col("size"))
-    met = probes.join(pool, ["b", "ord"]).where(~F.array_contains("used", F.col("k")))
-    n = F.col("have") + F.row_number().over(Window.partitionBy("doc_id").orderBy(F.abs(F.col("b") - F.col("own")), "b", "j"))
-    more = met.withColumn("n", n).where(F.col("n") <= wrong).select("doc_id", F.col("n").cast("int").alias("n"), F.col("other").alias("distractor"))
-    return first.unionAll(more)
+BUCKETS = ("01-05", "06-10", "11-20", "21-40", "41-80", "81+")
+
+
+def bucket_choices(docs: DataFrame, wrong: int = 3) -> DataFrame:
+    """doc_id, n, distractor: for each text ``wrong`` others of like length that are no comparison copies of it or of each other.
+
+    Each comparison key is held once, by its smallest doc_id, in that text's word bucket; the keys of a bucket stand in hash
+    order. A text starts at a hashed place and walks on until it has enough, in its own bucket first, then in the next
+    nearest, the smaller one of two. It is left short only if the whole table has too few other keys.
+    """
+    n_words = F.size(F.split(F.trim("text"), r"\s+"))
+    rows = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.sha2(spoken_key("text"), 256).alias("k"), word_bucket(n_words).alias("bucket"))
+    pool = rows.groupBy("k").agg(F.min(F.struct("doc_id", "bucket")).alias("f")).select("k", F.col("f.doc_id").alias("other"), F.col("f.bucket").alias("b"))
+    pool = placed_by_hash(pool, ["b"], "k", [], name="ord")
+    sizes = {r.b: r.n for r in pool.groupBy("b").agg(F.count("*").alias("n")).collect()}  # six rows
+    tries = []
+    for i, own in enumerate(BUCKETS):
+        sure, turn = 0, 0
+        for b in sorted(sizes, key=lambda b, i=i: (abs(BUCKETS.index(b) - i), b)):
+            if sure < wrong:  # a bucket holds the own key at most once
+                tries.append((own, b, turn, sizes[b], min(sizes[b], wrong + 1)))
+                sure, turn = sure + sizes[b] - 1, turn + 1
+    spark = docs.sparkSession
+    plan = spark.createDataFrame(tries, "bucket string, b string, turn int, size long, steps long")  # 36 rows at most
+    probes = rows.join(F.broadcast(plan), "bucket").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("steps") - 1)))
+    probes = probes.withColumn("ord", (hash_int("doc_id", "b") + F.col("j")) % F.col("size"))
+    met = probes.join(pool.withColumnRenamed("k", "ok"), ["b", "ord"]).where("ok <> k")
+    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("turn", "j"))  # a few rows a text
+    return met.withColumn("n", n).where(F.col("n") <= wrong).select("doc_id", F.col("n").cast("int").alias("n"), F.col("other").alias("distractor"))
 
 
 def choice_shortfall(docs: DataFrame, chosen: DataFrame, wrong: int = 3) -> DataFrame:
@@ -64,14 +61,12 @@ def template_by_hash(df: DataFrame, key: str, templates: int) -> DataFrame:
 
 
 def template_balanced(df: DataFrame, key: str, templates: int) -> DataFrame:
-    """Blocks of ``templates`` rows in hash order; in a block each template once, by a second hash. Blocks are made inside
-    ``hash % 64`` strata, so no window spans the table."""
-    stratum = (hash_int(key) % 64).cast("int")
-    rows = df.select(F.col(key).alias("row_id"), stratum.alias("stratum"))
-    place = F.row_number().over(Window.partitionBy("stratum").orderBy(digest("row_id"), "row_id")) - 1
-    block = rows.withColumn("block", F.floor(place / templates))
-    turn = F.row_number().over(Window.partitionBy("stratum", "block").orderBy(digest(F.lit("turn"), "row_id"), "row_id")) - 1
-    return block.withColumn("template", turn.cast("int")).select("row_id", "stratum", "block", "template")
+    """Blocks of ``templates`` rows in hash order; in a block each template once, by a second hash: over the whole table no
+    template is used more than once more than another."""
+    rows = df.select(F.col(key).alias("row_id"), digest(key).alias("h"))
+    block = placed_by_hash(rows, [], "h", ["row_id"]).withColumn("block", F.floor(F.col("place") / templates))
+    turn = F.row_number().over(Window.partitionBy("block").orderBy(digest(F.lit("turn"), "row_id"), "row_id")) - 1
+    return block.withColumn("template", turn.cast("int")).select("row_id", "block", "template")
 
 
 def hash_top(df: DataFrame, group: str, keys: list[str], k: int) -> DataFrame:
@@ -80,25 +75,30 @@ def hash_top(df: DataFrame, group: str, keys: list[str], k: int) -> DataFrame:
     return df.select(group, *keys).withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
 
 
-def composite_choices(docs: DataFrame, strata: int = 16) -> DataFrame:
+def composite_choices(docs: DataFrame) -> DataFrame:
     """Two texts and whether they are equal, as one choice of four.
 
-    The pool holds the first document of each comparison key. Inside a stratum of it each document is paired with the next
-    one in a circle and, where its hash says so, with itself; the one after is the wrong text. Wrong choices: the other
-    truth, the wrong second text, the wrong first text. Strata with fewer than three documents give no rows.
+    The pool holds the first document of each comparison key, in hash order. Each is paired with the next one of the circle
+    or, where its hash says so, with itself; the one after is the wrong text. Wrong choices: the other truth, the wrong
+    second text, the wrong first text. A pool of fewer than three gives no rows.
     """
-    pool = docs.where(F.col("text").isNotNull()).groupBy(F.sha2(spoken_key("text"), 256).alias("k")).agg(F.min("doc_id").alias("doc_id"))
-    w = Window.partitionBy("stratum").orderBy("doc_id")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ring = pool.select("doc_id", (hash_int("doc_id") % strata).alias("stratum"))
-    ring = ring.withColumn("next", F.coalesce(F.lead("doc_id").over(w), F.first("doc_id").over(whole))).withColumn("third", F.coalesce(F.lead("doc_id", 2).over(w), F.when(F.lead("doc_id").over(w).isNotNull(), F.first("doc_id").over(whole)).otherwise(F.nth_value("doc_id", 2).over(whole)))).withColumn("size", F.count("*").over(whole)).where("size >= 3")
+    pool = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.sha2(spoken_key("text"), 256).alias("k")).agg(F.min("doc_id").alias("doc_id"))
+    placed = placed_by_hash(pool, [], "k", [])
+    ring = placed.join(F.broadcast(placed.agg(F.count("*").alias("size")).where("size >= 3")))  # one row
+    at = placed.select(F.col("place").alias("at"), F.col("doc_id").alias("there"))
+    step = lambda rows, i, name: rows.withColumn("at", F.pmod(F.col("place") + i, "size")).join(at, "at").withColumnRenamed("there", name).drop("at")
+    ring = step(step(ring, 1, "next"), 2, "third")
     same = hash_int(F.lit("same"), "doc_id") % 2 == 0
     rows = ring.select(F.col("doc_id").alias("a"), F.when(same, F.col("doc_id")).otherwise(F.col("next")).alias("b"), "third", same.alias("same"))
     said = lambda x, y, z: F.concat_ws(",", x, y, z.cast("string"))
     gold = said(F.col("a"), F.col("b"), F.col("same"))
     four = F.array(gold, said(F.col("a"), F.col("b"), ~F.col("same")), said(F.col("a"), F.col("third"), F.col("same")), said(F.col("third"), F.col("b"), F.col("same")))
-    shown = F.transform(F.array_sort(F.transform(four, lambda x: F.struct(digest(F.lit("order"), F.col("a"), x).alias("h"), x.alias("x")))), lambda p: p["x"])
-    return rows.select("a", "b", "same", gold.alias("answer"), shown.alias("c")).select("a", "b", "same", "answer", F.array_join("c", "|").alias("choices"), (F.array_position("c", F.col("answer")) - 1).alias("position"))
+    return rows.select("a", "b", "same", gold.alias("answer"), shown_choices(F.col("a"), four).alias("c")).select("a", "b", "same", "answer", F.array_join("c", "|").alias("choices"), (F.array_position("c", F.col("answer")) - 1).alias("position"))
+
+
+def shown_choices(key: Column, choices: Column) -> Column:
+    """Choices in the order of their hashes with the row's key."""
+    return F.transform(F.array_sort(F.transform(choices, lambda x: F.struct(digest(F.lit("order"), key, x).alias("h"), x.alias("x")))), lambda p: p["x"])
 
 
 def audit_choices(mcq: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsing import age, age_group, blank, url_id
+
 
 def profile(df: DataFrame, name: str) -> DataFrame:
     """table_name, field, n, n_missing, n_distinct of every column, in one pass."""
@@ -25,6 +27,23 @@ def conflicts(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.groupBy(group).agg(F.count("*").alias("n_rows"), F.countDistinct(value).alias("n_values")).withColumn("conflict", F.col("n_values") > 1)
 
 
+def age_consistency(df: DataFrame, speaker: str, raw: str) -> DataFrame:
+    """Per speaker with a name: distinct ages and age groups, and whether either conflicts; ages under 18 have no group."""
+    years = age(raw)
+    per = df.where(~blank(speaker)).groupBy(speaker).agg(F.count("*").alias("n_rows"), F.countDistinct(years).alias("n_ages"), F.countDistinct(age_group(years)).alias("n_groups"))
+    return per.withColumns({"raw_conflict": F.col("n_ages") > 1, "bin_conflict": F.col("n_groups") > 1})
+
+
+def id_audit(df: DataFrame, url: str) -> DataFrame:
+    """One row: rows, ids read from their URLs, missing and malformed URLs, distinct ids, ids of several rows and those rows."""
+    ids = df.select(F.col(url).alias("u"), url_id(url).alias("id"))
+    n = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0).cast("long"))
+    rows = ids.agg(F.count("*").alias("n"), F.count("id").alias("parsed"), n(blank("u")).alias("missing"), n(~blank("u") & F.col("id").isNull()).alias("malformed"))
+    per = ids.where("id is not null").groupBy("id").agg(F.count("*").alias("c"))
+    again = per.agg(F.count("*").alias("n_ids"), n(F.col("c") > 1).alias("repeated_ids"), n(F.when(F.col("c") > 1, F.col("c"))).alias("repeated_rows"))
+    return rows.join(F.broadcast(again))
+
+
 def information(df: DataFrame, label: str) -> DataFrame:
     """Entropy, normalised entropy, effective classes, majority rate and balanced capacity of a label."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("c"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_int, spoken_key
+from ..functions.parsing import blank, clock_seconds
 
 _RUN = 5
 
@@ -63,3 +64,18 @@ def overlaps(events: DataFrame, seconds: int) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     rows = events.select("user_id", (start - F.lag(start).over(w)).alias("gap"))
     return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.sum(F.coalesce((F.col("gap") < seconds).cast("long"), F.lit(0))).alias("n_overlaps"))
+
+
+def interval_audit(df: DataFrame, group: str, start: str, end: str) -> DataFrame:
+    """One row over intervals of clock texts: rows that can't be read, repeats of an interval in its group, and intervals that
+    start before the one before them, in the order of start and end, has ended."""
+    a, z = clock_seconds(start), clock_seconds(end)
+    rows = df.select(F.col(group).alias("g"), a.alias("a"), z.alias("z"))
+    bad = blank("g") | F.col("a").isNull() | F.col("z").isNull()
+    n = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0).cast("long"))
+    good = rows.where(~bad)
+    per = good.groupBy("g", "a", "z").agg(F.count("*").alias("c"))
+    # repeats beside each other all overlap when the interval has a length
+    late = F.lag("z").over(Window.partitionBy("g").orderBy("a", "z"))
+    overlapping = per.withColumn("late", F.col("a") < late).agg(n(F.col("late")).alias("between"), n(F.when(F.col("z") > F.col("a"), F.col("c") - 1)).alias("inside"), n(F.col("c") - 1).alias("repeated"))
+    return rows.agg(n(bad).alias("unparseable")).join(F.broadcast(overlapping)).select("unparseable", "repeated", (F.col("between") + F.col("inside")).alias("overlapping"))

@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import calibrate, capacity, choices, pairs, profile, sets
 from ..sources.readers import table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(f):
-    QUERIES[f.__name__] = f
-    return f
+from .registry import query
 
 
 @query
@@ -35,22 +26,6 @@ def q_textnorm_ascii(s, d):
     return table(s, d, "documents").select("doc_id", F.sha2(K.spoken_key("text"), 256).alias("text_key"), K.audio_id("docs", "r1", "doc_id").alias("audio_id"))
 
 
-@query
-def q_term_match_level(s, d):
-    p = table(s, d, "part")
-    a, b = F.col("p_type"), F.col("p_name")
-    level = F.when(F.contains(b, a), "A_RAW").when(F.contains(F.lower(b), F.lower(F.substring(a, 1, 3))), "B_CASE_ONLY").otherwise("LEXICAL_MISMATCH")
-    return p.groupBy(level.alias("level"), "p_type").agg(F.count("*").alias("n"))
-
-
-@query
-def q_decimal_parse(s, d):
-    raw = F.when(F.col("l_linenumber") == 7, "abc").otherwise(F.concat(F.lit(" "), F.col("l_quantity").cast("int").cast("string"), F.lit(".50")))
-    v = F.expr("try_cast(trim(raw) as decimal(38,18))")
-    rows = table(s, d, "lineitem").select("l_returnflag", raw.alias("raw")).withColumn("v", v)
-    return rows.groupBy("l_returnflag", F.when(F.col("v").isNull(), "malformed").when(F.col("v") <= 0, "nonpositive").otherwise("valid").alias("status")).agg(F.count("*").alias("n"), F.sum(F.col("v").cast("double")).alias("total"))
-
-
 @query
 def q_field_dependency(s, d):
     c = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -85,6 +60,11 @@ def q_percentiles(s, d):
     return calibrate.percentiles(table(s, d, "lineitem"), "l_returnflag", "l_extendedprice")
 
 
+@query
+def q_distribution(s, d):
+    return calibrate.distribution(table(s, d, "lineitem"), "l_extendedprice", ["l_returnflag"])
+
+
 @query
 def q_entropy_info(s, d):
     return profile.information(table(s, d, "customer"), "c_mktsegment")
@@ -136,7 +116,13 @@ def q_pairs_neighborhood(s, d):
 @query
 def q_negative_tiered(s, d):
     c = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return pairs.tiered_negative(c, "c_custkey", "c_nationkey", [["n_regionkey", "c_mktsegment"], ["n_regionkey"], ["c_mktsegment"]])
+    return pairs.tiered_negative(c, "c_custkey", "c_nationkey", [["n_regionkey", "c_mktsegment"], ["n_regionkey"], []])
+
+
+@query
+def q_verification_plan(s, d):
+    o = table(s, d, "orders").join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return pairs.verification_plan(o, "o_orderkey", "o_custkey", [["c_nationkey", "c_mktsegment"], ["c_nationkey"], []])
 
 
 @query
@@ -244,6 +230,16 @@ def q_reuse_stats(s, d):
     return pairs.reuse(q_pairs_neighborhood(s, d))
 
 
+@query
+def q_most_used(s, d):
+    return pairs.most_used(q_verification_plan(s, d))
+
+
+@query
+def q_plan_shortfall(s, d):
+    return pairs.plan_shortfall(q_verification_plan(s, d))
+
+
 @query
 def q_audit_plan(s, d):
     p, c = q_pairs_neighborhood(s, d), table(s, d, "customer").select("c_custkey", "c_mktsegment")
@@ -258,6 +254,39 @@ def q_eval_confusion(s, d):
     return calibrate.confusion(j.select(F.col("quality"), (F.col("n_chars") >= 1000).cast("int").alias("said")), "quality", "said")
 
 
+def _said(s, d):
+    """Documents' source of twenty as the gold class, and a rule that names half of them, another class or none."""
+    n = F.col("n_chars") % 7
+    said = F.when(n < 3, F.col("source")).when(n < 5, "src1").when(n == 5, "elsewhere")
+    return table(s, d, "documents").select(F.col("source").alias("gold"), F.when(F.col("source") != "src9", said).alias("said"))
+
+
+@query
+def q_eval_classes(s, d):
+    return calibrate.confusion(_said(s, d), "gold", "said")
+
+
+@query
+def q_eval_summary(s, d):
+    return calibrate.evaluation(_said(s, d), "gold", "said")
+
+
+@query
+def q_eval_matrix(s, d):
+    return calibrate.confusion_matrix(_said(s, d), "gold", "said")
+
+
+@query
+def q_eval_answers(s, d):
+    k = F.col("o_orderkey") % 6
+    words = F.array(F.lit("LOW"), F.lit("HIGH"), F.lit("URGENT"), F.lit("MEDIUM"))
+    gold = F.substring_index("o_orderpriority", "-", -1)
+    raw = F.when(k == 0, F.concat(F.lower(gold), F.lit("."))).when(k == 1, F.concat(F.lit("It is "), gold, F.lit("!"))).when(k == 2, F.lit(" (b) ")).when(k == 3, F.lit("low or high")).when(k == 4, F.lit(None).cast("string")).otherwise(F.lit("z"))
+    rows = table(s, d, "orders").select(words.alias("choices"), gold.alias("gold"), raw.alias("raw"))
+    value, how = calibrate.read_answer("raw", "choices")
+    return rows.select("gold", value.alias("said"), how.alias("how")).groupBy("gold", "said", "how").agg(F.count("*").alias("n"))
+
+
 @query
 def q_dependency_manifest(s, d):
     p = q_pairs_neighborhood(s, d)
@@ -299,11 +328,6 @@ def q_search3(s, d):
 
 @query
 def q_mcq_composite(s, d):
-    return choices.composite_choices(table(s, d, "documents").where("lang = 'en'"))
-
-
-@query
-def q_mcq_composite_all(s, d):
     return choices.composite_choices(table(s, d, "documents"))
 
 
