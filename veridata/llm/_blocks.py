@@ -85,6 +85,26 @@ def held_cuts(keys: np.ndarray, fragments: int) -> list[tuple[int, int, int]]:
     return [(int(i), int(edges[i]), int(edges[i + 1])) for i in np.flatnonzero(edges[1:] > edges[:-1])]
 
 
+def planes(a: np.ndarray, dtype: str) -> bytes:
+    """Numbers with their first bytes first, then their second ones and so on: what is alike compresses in the shuffle."""
+    a = np.ascontiguousarray(a, dtype)
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, dtype: str) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them, whose upper bytes are mostly 0."""
+    return planes(np.diff(keys, prepend=np.uint64(0)), "<u8")
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, "<u8"), dtype=np.uint64)
+
+
 def _trimmed(f: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
     """``f``, after which the memory of its arrays goes back to the system."""
 
@@ -120,23 +140,24 @@ def through_fragments(
             release()
         keys, cols = keys_of(table)
         cuts = held_cuts(keys, n)
-        cut = lambda a: pa.array([a[x:y].tobytes() for _, x, y in cuts], pa.binary())
-        data = [pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), cut(keys)]
-        return pa.table(data + [cut(np.asarray(c, t)) for c, t in zip(cols, sends, strict=True)], names=["fragment", "block", "keys", *(f"c{i}" for i in range(len(sends)))])
+        cut = lambda a, t: pa.array([planes(a[x:y], t) for _, x, y in cuts], pa.binary())
+        data = [pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), pa.array([packed_keys(keys[x:y]) for _, x, y in cuts], pa.binary())]
+        return pa.table(data + [cut(c, t) for c, t in zip(cols, sends, strict=True)], names=["fragment", "block", "keys", *(f"c{i}" for i in range(len(sends)))])
 
     def across(table: pa.Table) -> pa.Table:
-        read = lambda name, t: [np.frombuffer(x.as_py(), t) for x in table[name]]
-        parts = read("keys", np.uint64)
-        cols = [np.concatenate(read(f"c{i}", t)) for i, t in enumerate(sends)]
+        parts = [unpacked_keys(x.as_py()) for x in table["keys"]]
+        cols = [np.concatenate([from_planes(x.as_py(), t) for x in table[f"c{i}"]]) for i, t in enumerate(sends)]
         edges = np.cumsum([0, *map(len, parts)])
-        out = combine(np.concatenate(parts), cols)
-        cut = lambda a: [a[edges[i] : edges[i + 1]].tobytes() for i in range(len(parts))]
+        keys = np.concatenate(parts)
+        del parts
+        out = combine(keys, cols)
+        cut = lambda a, t: [planes(a[x:y], t) for x, y in zip(edges[:-1], edges[1:], strict=True)]
         data = [table["block"].combine_chunks(), table["fragment"].combine_chunks()]
-        return pa.table(data + [pa.array(cut(np.asarray(a, t)), pa.binary()) for a, t in zip(out, answers, strict=True)], names=["block", "fragment", *(f"a{i}" for i in range(len(answers)))])
+        return pa.table(data + [pa.array(cut(a, t), pa.binary()) for a, t in zip(out, answers, strict=True)], names=["block", "fragment", *(f"a{i}" for i in range(len(answers)))])
 
     def down(table: pa.Table, told: pa.Table) -> pa.Table:
         order = np.argsort(told["fragment"].to_numpy())
-        got = [np.concatenate([*(np.frombuffer(told[f"a{i}"][int(k)].as_py(), t) for k in order), np.empty(0, t)]) for i, t in enumerate(answers)]
+        got = [np.concatenate([*(from_planes(told[f"a{i}"][int(k)].as_py(), t) for k in order), np.empty(0, t)]) for i, t in enumerate(answers)]
         return finish(table, got)
 
     binaries = lambda p, k: "".join(f", {p}{i} binary" for i in range(k))

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._blocks import _KEPT, BLOCK_BYTES, _trimmed, blocked, distinct, held_cuts, mix, release
+from ._blocks import _KEPT, BLOCK_BYTES, _trimmed, blocked, distinct, from_planes, held_cuts, mix, packed_keys, planes, release, unpacked_keys
 
 WINDOW, REACH, LONGEST, MIN_RUN = 16, 14, 256, 128
 #: A passage has this many words at least; any such passage holds the same smallest PART-word piece in all its copies.
@@ -174,8 +174,8 @@ def _by_key(keys: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray,
 
 def _sent(table: pa.Table, n: int, keys: np.ndarray, least: np.ndarray, many: np.ndarray) -> pa.Table:
     cuts = held_cuts(keys, n)
-    cut = lambda a: pa.array([a[x:y].tobytes() for _, x, y in cuts], pa.binary())
-    return pa.table([pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), cut(keys), cut(least), cut(many)], names=["fragment", "block", "keys", "least", "many"])
+    cut = lambda a, t: pa.array([planes(a[x:y], t) for _, x, y in cuts], pa.binary())
+    return pa.table([pa.array([f for f, *_ in cuts], pa.int32()), pa.array([table["block"][0].as_py()] * len(cuts), pa.int32()), pa.array([packed_keys(keys[x:y]) for _, x, y in cuts], pa.binary()), cut(least, "<i8"), cut(many, "u1")], names=["fragment", "block", "keys", "least", "many"])
 
 
 def _among(keys: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,16 +188,17 @@ def _among(keys: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _told(told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The keys of a block that are repeated, sorted, and the first document of each."""
     order = np.argsort(told["fragment"].to_numpy())
-    read = lambda name, t: np.concatenate([np.frombuffer(told[name][int(k)].as_py(), t) for k in order] or [np.empty(0, t)])
-    return read("keys", np.uint64), read("first", np.int64)
+    keys = [unpacked_keys(told["keys"][int(k)].as_py()) for k in order]
+    first = [from_planes(told["first"][int(k)].as_py(), "<i8") for k in order]
+    return np.concatenate([*keys, np.empty(0, np.uint64)]), np.concatenate([*first, np.empty(0, np.int64)])
 
 
 def _across(table: pa.Table) -> pa.Table:
     """Of the keys that blocks sent to a fragment, the repeated ones back to each block that has them."""
-    read = lambda name, t: [np.frombuffer(x.as_py(), t) for x in table[name]]
-    parts = read("keys", np.uint64)
+    read = lambda name, t: np.concatenate([from_planes(x.as_py(), t) for x in table[name]])
+    parts = [unpacked_keys(x.as_py()) for x in table["keys"]]
     edges = np.cumsum([0, *map(len, parts)])
-    keys, doc, many = np.concatenate(parts), np.concatenate(read("least", np.int64)), np.concatenate(read("many", np.uint8))
+    keys, doc, many = np.concatenate(parts), read("least", "<i8"), read("many", "u1")
     kinds, place = distinct(keys)
     first, most, any_ = np.full(len(kinds), _LAST), np.full(len(kinds), np.iinfo(np.int64).min), np.zeros(len(kinds), np.uint8)
     np.minimum.at(first, place, doc)
@@ -205,8 +206,9 @@ def _across(table: pa.Table) -> pa.Table:
     np.maximum.at(any_, place, many)
     again = ((first != most) | (any_ > 0))[place]
     first = first[place]
-    cut = lambda a: pa.array([a[x:y][again[x:y]].tobytes() for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-    return pa.table([table["block"].combine_chunks(), table["fragment"].combine_chunks(), cut(keys), cut(first)], names=["block", "fragment", "keys", "first"])
+    held = [slice(x, y) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+    told = [pa.array([packed_keys(keys[h][again[h]]) for h in held], pa.binary()), pa.array([planes(first[h][again[h]], "<i8") for h in held], pa.binary())]
+    return pa.table([table["block"].combine_chunks(), table["fragment"].combine_chunks(), *told], names=["block", "fragment", "keys", "first"])
 
 
 def repeated_passages(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
