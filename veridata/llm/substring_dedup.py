@@ -150,7 +150,8 @@ def windows(texts: list[bytes]):
         place = np.flatnonzero(own[:k] == own[PASSAGE - 1 :]) if k else np.empty(0, np.int64)
         if len(place):
             of = _hashed(raw, starts, ends)
-            named = _smallest(of(PART), PASSAGE - PART + 1)[place]
+            # the smallest of many hashes are small ones: mixed again they fill the key range evenly
+            named = mix(_smallest(of(PART), PASSAGE - PART + 1)[place])
             yield at, begin, starts, ends, own, place, named, of(PASSAGE)[place]
         else:
             yield at, begin, starts, ends, own, place, np.empty(0, np.uint64), np.empty(0, np.uint64)
