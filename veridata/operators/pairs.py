@@ -9,10 +9,10 @@ from ..functions.keys import digest, hash_int
 from ..functions.places import hash_stratum, placed_by_hash, running, strata_for
 
 
-def direct_round_robin(df: DataFrame, key: str, field: str, total: int) -> DataFrame:
+def direct_round_robin(df: DataFrame, key: str, field: str, total: int, strata: int | None = None) -> DataFrame:
     """``total`` rows, one of each value in turn."""
     rows = df.where(F.col(field).isNotNull()).select(F.col(key).alias("row_id"), F.col(field).alias("value"), digest(key).alias("h"))
-    placed = placed_by_hash(rows, ["value"], "h", ["row_id"], name="turn")
+    placed = placed_by_hash(rows, ["value"], "h", ["row_id"], strata, name="turn")
     return placed.orderBy("turn", "value").limit(total).select("row_id", "value", (F.col("turn") + 1).cast("int").alias("turn"))
 
 
@@ -26,29 +26,34 @@ def same_group_pairs(df: DataFrame, key: str, group: str, largest: int = 1000) -
     return a.join(b, "g").where("a < b").select("a", "b")
 
 
-def circle(df: DataFrame, key: str, group: str) -> DataFrame:
-    """Rows with their place in the group's hash order and in the circle of all groups, one behind the other."""
+def circle(df: DataFrame, key: str, group: str, strata: int | None = None) -> DataFrame:
+    """Rows with their place in the group's hash order and in the circle of all groups, one behind the other.
+
+    ``strata``: see ``placed_by_hash``; enough for the rows is enough for the groups."""
     rows = df.where(F.col(group).isNotNull()).select(F.col(key).alias("row_id"), F.col(group).alias("grp"), digest(key).alias("h"))
     sizes = rows.groupBy("grp").agg(F.count("*").alias("m")).withColumn("g", digest("grp"))
     # where a group starts in the circle of groups, which stand in hash order
-    starts = running(sizes.withColumn("_s", hash_stratum(F.col("g"), strata_for(sizes))), ["g", "grp"], {"first": "m"}, exclusive=True)
+    n = strata_for(df) if strata is None else strata
+    starts = running(sizes.withColumn("_s", hash_stratum(F.col("g"), n)), ["g", "grp"], {"first": "m"}, exclusive=True)
     whole = sizes.agg(F.sum("m").alias("n"), F.max("m").alias("largest"))
     starts = starts.select("grp", "m", "first").join(F.broadcast(whole))  # one row
-    return placed_by_hash(rows, ["grp"], "h", ["row_id"]).join(starts, "grp")
+    return placed_by_hash(rows, ["grp"], "h", ["row_id"], n).join(starts, "grp")
 
 
-def neighborhood(df: DataFrame, key: str, group: str, same: int = 2, different: int = 2) -> DataFrame:
+def neighborhood(df: DataFrame, key: str, group: str, same: int = 2, different: int = 2, strata: int | None = None) -> DataFrame:
     """Each row with the next ``same`` rows of its group's circle and ``different`` rows a largest group ahead."""
-    c = circle(df, key, group)
-    near = c.where(F.col("m") >= 2 * same + 1).select(F.col("row_id").alias("a"), "grp", F.explode(F.array(*[F.pmod(F.col("place") + i, "m") for i in range(1, same + 1)])).alias("place"))
-    pos = near.join(c.select("grp", "place", F.col("row_id").alias("b")), ["grp", "place"]).select("a", "b", F.lit(True).alias("same"))
+    c = circle(df, key, group, strata)
     ok = c.where(2 * (F.col("largest") + different - 1) < F.col("n"))
     far = ok.select(F.col("row_id").alias("a"), F.explode(F.array(*[F.pmod(F.col("first") + F.col("place") + F.col("largest") + i, "n") for i in range(different)])).alias("at"))
     neg = far.join(c.select((F.col("first") + F.col("place")).alias("at"), F.col("row_id").alias("b")), "at").select("a", "b", F.lit(False).alias("same"))
+    if not same:
+        return neg
+    near = c.where(F.col("m") >= 2 * same + 1).select(F.col("row_id").alias("a"), "grp", F.explode(F.array(*[F.pmod(F.col("place") + i, "m") for i in range(1, same + 1)])).alias("place"))
+    pos = near.join(c.select("grp", "place", F.col("row_id").alias("b")), ["grp", "place"]).select("a", "b", F.lit(True).alias("same"))
     return pos.unionAll(neg)
 
 
-def tiered_negative(df: DataFrame, key: str, speaker: str, tiers: list[list[str]]) -> DataFrame:
+def tiered_negative(df: DataFrame, key: str, speaker: str, tiers: list[list[str]], strata: int | None = None) -> DataFrame:
     """For each row a row of another speaker, of the first tier whose group has one: (a, b, tier); no b if there is no other.
 
     A tier is a list of columns that both share, an empty one the whole table; rows with a null among them have no such
@@ -56,15 +61,16 @@ def tiered_negative(df: DataFrame, key: str, speaker: str, tiers: list[list[str]
     speaker by its place. All joins are by equality; no window holds a group.
     """
     rows = df.where(F.col(speaker).isNotNull())
+    strata = strata_for(rows) if strata is None else strata
     out = rows.select(F.col(key).alias("a"))
     for i, cols in enumerate(tiers):
         g = [f"g{j}" for j in range(len(cols))]
         held = rows.select(F.col(key).alias("b"), F.col(speaker).alias("who"), *[F.col(c).alias(x) for c, x in zip(cols, g, strict=True)]).dropna(subset=[*g, "b"])
-        placed = placed_by_hash(held.withColumn("h", digest("b")), [*g, "who"], "h", ["b"], name="at").drop("h")
+        placed = placed_by_hash(held.withColumn("h", digest("b")), [*g, "who"], "h", ["b"], strata, name="at").drop("h")
         speakers = held.groupBy(*g, "who").agg(F.count("*").alias("size"))
-        ring = placed_by_hash(speakers.withColumn("h", digest("who")), g, "h", ["who"], name="turn").drop("h")
+        ring = placed_by_hash(speakers.withColumn("h", digest("who")), g, "h", ["who"], strata, name="turn").drop("h")
         each = ring.groupBy(*g).agg(F.count("*").alias("k")).where("k > 1")
-        ring = ring.join(each, g) if g else ring.crossJoin(F.broadcast(each))  # one row
+        ring = ring.join(each, g) if g else ring.join(F.broadcast(each))  # one row
         pick, spot = hash_int(F.lit("speaker"), F.lit(i), "b"), hash_int(F.lit("row"), F.lit(i), "b")
         asks = held.join(ring, [*g, "who"]).select(*g, F.col("b").alias("a"), F.pmod(F.col("turn") + 1 + pick % (F.col("k") - 1), "k").alias("turn"), spot.alias("spot"))
         found = asks.join(ring.select(*g, "turn", "who", "size"), [*g, "turn"]).withColumn("at", F.col("spot") % F.col("size")).join(placed, [*g, "who", "at"])
@@ -78,12 +84,13 @@ def verification_plan(df: DataFrame, key: str, speaker: str, tiers: list[list[st
     twice. A speaker of m rows gives its circle of m pairs (one if m is 2). Of the other pairs, one that an earlier pair
     holds the other way round is left out: ``plan_shortfall`` counts them."""
     rows = df.where(F.col(speaker).isNotNull()).select(F.col(key).alias("row_id"), F.col(speaker).alias("who"))
-    placed = placed_by_hash(rows.withColumn("h", digest("row_id")), ["who"], "h", ["row_id"])
+    strata = strata_for(rows)
+    placed = placed_by_hash(rows.withColumn("h", digest("row_id")), ["who"], "h", ["row_id"], strata)
     sizes = rows.groupBy("who").agg(F.count("*").alias("m"))
     ring = placed.join(sizes, "who").where("m > 1")
     next_ = ring.select(F.col("row_id").alias("a"), "who", F.pmod(F.col("place") + 1, "m").alias("place"), "m").where("m > 2 or place = 1")
     same = next_.join(ring.select("who", "place", F.col("row_id").alias("b")), ["who", "place"]).select("a", "b")
-    other = tiered_negative(df, key, speaker, tiers).join(same.select("a"), "a").where("b is not null")
+    other = tiered_negative(df, key, speaker, tiers, strata).join(same.select("a"), "a").where("b is not null")
     once = other.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min(F.struct("a", "b", "tier")).alias("p")).select("p.*")
     return same.select("a", "b", F.lit(True).alias("same"), F.lit(None).cast("int").alias("tier")).unionByName(once.select("a", "b", F.lit(False).alias("same"), "tier"))
 
@@ -94,7 +101,7 @@ def plan_shortfall(plan: DataFrame) -> DataFrame:
     return plan.agg(side(True).alias("n_same"), side(False).alias("n_different")).withColumn("shortfall", F.col("n_same") - F.col("n_different"))
 
 
-def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: float = 1.67) -> DataFrame:
+def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: float = 1.67, strata: int | None = None) -> DataFrame:
     """Each row's own value and another value of the field, of like length if there is one, by hash.
 
     The domain stands in the order of length, then hash, so the values of like length are a range of places; the row's
@@ -108,7 +115,7 @@ def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: fl
     size = lengths.agg(F.sum("c").alias("size"))
     near = steps.alias("x").join(F.broadcast(steps.alias("y")), (F.col("y.len") / F.col("x.len") >= low) & (F.col("y.len") / F.col("x.len") <= high), "left")
     near = near.groupBy(F.col("x.len").alias("len"), F.col("x.start").alias("start")).agg(F.min("y.start").alias("lo"), F.max("y.end").alias("hi")).join(F.broadcast(size))
-    placed = placed_by_hash(dom, ["len"], "h", ["v"]).join(F.broadcast(near), "len").withColumn("at", F.col("start") + F.col("place"))
+    placed = placed_by_hash(dom, ["len"], "h", ["v"], strata).join(F.broadcast(near), "len").withColumn("at", F.col("start") + F.col("place"))
     like = F.coalesce(F.col("hi") - F.col("lo") > 1, F.lit(False))
     lo, n = F.when(like, F.col("lo")).otherwise(F.lit(0)), F.when(like, F.col("hi") - F.col("lo")).otherwise(F.col("size"))
     asks = df.select(F.col(key).alias("row_id"), F.col(field).cast("string").alias("v")).join(placed.select("v", "at", lo.alias("lo"), n.alias("n"), (~like).alias("fallback")).where("n > 1"), "v")
@@ -118,9 +125,9 @@ def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: fl
     return asks.join(placed.select("at", F.col("v").alias("negative")), "at").select("row_id", "positive", "negative", "fallback")
 
 
-def selection(df: DataFrame, key: str, group: str) -> DataFrame:
+def selection(df: DataFrame, key: str, group: str, strata: int | None = None) -> DataFrame:
     """Each row beside one of another group; a hash bit says which comes first."""
-    pairs = neighborhood(df, key, group, same=1, different=1).where("not same")
+    pairs = neighborhood(df, key, group, same=0, different=1, strata=strata)
     first = hash_int("a") % 2 == 0
     return pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("row_a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("row_b"), F.when(first, "A").otherwise("B").alias("answer"), F.col("a").alias("anchor"))
 

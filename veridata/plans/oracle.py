@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 
-from . import queries, texts  # noqa: F401
+from . import assets, checks, queries, records, texts  # noqa: F401
+from .oracle_capacity import CAPACITY as _CAPACITY
 from .registry import ORACLES as _STATED
 from .registry import audio as _audio
 from .registry import digest as _digest
@@ -19,15 +20,6 @@ _CN = "customer JOIN nation ON c_nationkey = n_nationkey"
 _TOPIC = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]}
 
 
-def _capacity(t: str, c: str) -> str:
-    return f"""SELECT '{c}' AS field, CAST(sum(c) AS BIGINT) AS direct, CAST(sum(c * (c - 1) // 2) AS BIGINT) AS equal_pos,
-  CAST(sum(c) * (sum(c) - 1) // 2 - sum(c * (c - 1) // 2) AS BIGINT) AS equal_neg, CAST(sum(c) AS BIGINT) AS match_pos, CAST(sum(c) * (count(*) - 1) AS BIGINT) AS match_neg,
-  CAST(sum(c) * sum(c) - sum(c * c) AS BIGINT) AS selection FROM (SELECT count(*) AS c FROM {t} WHERE {c} IS NOT NULL GROUP BY {c})"""
-
-
-_CAPACITY = " UNION ALL ".join(_capacity(*x) for x in (("customer", "c_mktsegment"), ("customer", "c_nationkey"), ("orders", "o_orderpriority")))
-
-
 def _neighborhood(same: int, different: int) -> str:
     return f"""
   WITH r AS (SELECT c_custkey AS id, c_mktsegment AS g, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {_digest('c_custkey')}, c_custkey) - 1 AS place FROM customer WHERE c_mktsegment IS NOT NULL),
