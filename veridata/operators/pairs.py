@@ -40,9 +40,10 @@ def circle(df: DataFrame, key: str, group: str, strata: int | None = None) -> Da
     return placed_by_hash(rows, ["grp"], "h", ["row_id"], n).join(starts, "grp")
 
 
-def neighborhood(df: DataFrame, key: str, group: str, same: int = 2, different: int = 2, strata: int | None = None) -> DataFrame:
-    """Each row with the next ``same`` rows of its group's circle and ``different`` rows a largest group ahead."""
-    c = circle(df, key, group, strata)
+def neighborhood(df: DataFrame, key: str, group: str, same: int = 2, different: int = 2, ring: DataFrame | None = None) -> DataFrame:
+    """Each row with the next ``same`` rows of its group's circle and ``different`` rows a largest group ahead. ``ring``: the
+    circle, if it is made already."""
+    c = circle(df, key, group) if ring is None else ring
     ok = c.where(2 * (F.col("largest") + different - 1) < F.col("n"))
     far = ok.select(F.col("row_id").alias("a"), F.explode(F.array(*[F.pmod(F.col("first") + F.col("place") + F.col("largest") + i, "n") for i in range(different)])).alias("at"))
     neg = far.join(c.select((F.col("first") + F.col("place")).alias("at"), F.col("row_id").alias("b")), "at").select("a", "b", F.lit(False).alias("same"))
@@ -125,9 +126,9 @@ def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: fl
     return asks.join(placed.select("at", F.col("v").alias("negative")), "at").select("row_id", "positive", "negative", "fallback")
 
 
-def selection(df: DataFrame, key: str, group: str, strata: int | None = None) -> DataFrame:
+def selection(df: DataFrame, key: str, group: str, ring: DataFrame | None = None) -> DataFrame:
     """Each row beside one of another group; a hash bit says which comes first."""
-    pairs = neighborhood(df, key, group, same=0, different=1, strata=strata)
+    pairs = neighborhood(df, key, group, same=0, different=1, ring=ring)
     first = hash_int("a") % 2 == 0
     return pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("row_a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("row_b"), F.when(first, "A").otherwise("B").alias("answer"), F.col("a").alias("anchor"))
 

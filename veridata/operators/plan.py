@@ -125,11 +125,11 @@ def positive_count(total: int, ratio: float | None) -> int:
     return (total + 1) // 2 if ratio is None else round(total * ratio)
 
 
-def equality_positive(rows: DataFrame, key: str, group: str, hidden: str, total: int, strata: int | None = None) -> DataFrame:
+def equality_positive(rows: DataFrame, key: str, group: str, hidden: str, total: int, ring: DataFrame | None = None) -> DataFrame:
     """a, b of ``total`` pairs inside a group, no unordered pair twice: of a row's next three in the group's circle the first
     of another hidden identifier, the next one if there is none. Groups of under seven rows only use the next one, those of
     two their only pair."""
-    c = circle(rows, key, group, strata).join(rows.select(F.col(key).alias("row_id"), F.col(hidden).alias("who")), "row_id").where("m > 1")
+    c = (circle(rows, key, group) if ring is None else ring).join(rows.select(F.col(key).alias("row_id"), F.col(hidden).alias("who")), "row_id").where("m > 1")
     steps = F.when(F.col("m") >= 7, F.array(*[F.lit(i) for i in (1, 2, 3)])).otherwise(F.array(F.lit(1)))
     asks = c.where("m > 2 or place = 0").select(F.col("row_id").alias("a"), F.col("who").alias("wa"), "h", "grp", F.col("m"), F.col("place").alias("p"), F.explode(steps).alias("step"))
     asks = asks.withColumn("place", F.pmod(F.col("p") + F.col("step"), "m"))
@@ -139,17 +139,18 @@ def equality_positive(rows: DataFrame, key: str, group: str, hidden: str, total:
     return best.orderBy("h", "a").limit(total).select("a", F.col("f.b").alias("b"))
 
 
-def equality_negative(rows: DataFrame, key: str, group: str, total: int, strata: int | None = None) -> DataFrame:
+def equality_negative(rows: DataFrame, key: str, group: str, total: int, ring: DataFrame | None = None) -> DataFrame:
     """a, b of ``total`` pairs of two groups, no unordered pair twice: a largest group ahead in the circle of all groups.
     None where one group holds half the rows or more."""
-    c = circle(rows, key, group, strata)
+    c = circle(rows, key, group) if ring is None else ring
     ok = c.where(2 * F.col("largest") < F.col("n")).orderBy("h", "row_id").limit(total)
     asks = ok.select(F.col("row_id").alias("a"), F.pmod(F.col("first") + F.col("place") + F.col("largest"), "n").alias("at"))
     return asks.join(c.select((F.col("first") + F.col("place")).alias("at"), F.col("row_id").alias("b")), "at").select("a", "b")
 
 
-def instances(rows: DataFrame, key: str, hidden: str, contract: Contract, total: int, ratio: float | None = None, strata: int | None = None) -> DataFrame:
-    """type_id, row_ids, target, gold of up to ``total`` instances of one contract; ``shortfall`` tells what is missing."""
+def instances(rows: DataFrame, key: str, hidden: str, contract: Contract, total: int, ratio: float | None = None, strata: int | None = None, ring: DataFrame | None = None) -> DataFrame:
+    """type_id, row_ids, target, gold of up to ``total`` instances of one contract; ``shortfall`` tells what is missing. ``ring``:
+    the circle of the field's groups, which the types of one field share."""
     f = contract.field
     rows = rows.where(F.col(f).isNotNull())
     text = lambda c: as_column(c).cast("string")
@@ -158,8 +159,8 @@ def instances(rows: DataFrame, key: str, hidden: str, contract: Contract, total:
     if contract.operator == "DIRECT":
         got = direct_round_robin(rows, key, f, total, strata).select(F.array(text("row_id")).alias("row_ids"), none.alias("target"), text("value").alias("gold"))
     elif contract.operator == "EQUALITY":
-        pos = equality_positive(rows, key, f, hidden, yes, strata).withColumn("gold", F.lit("true"))
-        neg = equality_negative(rows, key, f, total - yes, strata).withColumn("gold", F.lit("false"))
+        pos = equality_positive(rows, key, f, hidden, yes, ring).withColumn("gold", F.lit("true"))
+        neg = equality_negative(rows, key, f, total - yes, ring).withColumn("gold", F.lit("false"))
         got = pos.unionByName(neg).select(F.array(text("a"), text("b")).alias("row_ids"), none.alias("target"), "gold")
     elif contract.operator == "TARGET_MATCH":
         met = target_match(rows, key, f, strata=strata).withColumn("h", digest(F.lit("match"), "row_id")).orderBy("h", "row_id").limit(total)
@@ -167,7 +168,7 @@ def instances(rows: DataFrame, key: str, hidden: str, contract: Contract, total:
         met = met.withColumn("yes", at <= yes)
         got = met.select(F.array(text("row_id")).alias("row_ids"), F.when(F.col("yes"), F.col("positive")).otherwise(F.col("negative")).alias("target"), F.when(F.col("yes"), "true").otherwise("false").alias("gold"))
     else:
-        met = selection(rows, key, f, strata).orderBy(digest(F.lit("select"), "anchor"), "anchor").limit(total)
+        met = selection(rows, key, f, ring).orderBy(digest(F.lit("select"), "anchor"), "anchor").limit(total)
         met = met.join(rows.select(F.col(key).alias("anchor"), text(f).alias("target")), "anchor")
         got = met.select(F.array(text("row_a"), text("row_b")).alias("row_ids"), "target", F.col("answer").alias("gold"))
     return got.select(F.lit(contract.type_id).alias("type_id"), F.lit(contract.operator).alias("operator"), F.lit(f).alias("field"), "row_ids", "target", "gold")
@@ -182,7 +183,8 @@ def semantic_id(dataset: str, revision: str) -> Column:
 def build_plan(rows: DataFrame, key: str, hidden: str, contracts: list[Contract], budgets: dict[str, int], wordings: DataFrame, bank: str, dataset: str, revision: str, ratio: float | None = None, seed: int = 42) -> DataFrame:
     """The instances of all contracts, each once, with audio ids and a wording chosen by hash among the type's."""
     strata = strata_for(rows)
-    parts = [instances(rows, key, hidden, c, budgets[c.type_id], ratio, strata) for c in sorted(contracts, key=lambda c: c.type_id) if budgets.get(c.type_id)]
+    rings = {f: circle(rows.where(F.col(f).isNotNull()), key, f, strata) for f in sorted({c.field for c in contracts if budgets.get(c.type_id)})}
+    parts = [instances(rows, key, hidden, c, budgets[c.type_id], ratio, strata, rings[c.field]) for c in sorted(contracts, key=lambda c: c.type_id) if budgets.get(c.type_id)]
     drafts = reduce(DataFrame.unionByName, parts).withColumn("semantic_id", semantic_id(dataset, revision)).dropDuplicates(["semantic_id"])
     ids = F.transform("row_ids", lambda r: F.concat(F.lit("audio_"), F.substring(F.sha2(F.concat_ws("|", F.lit(dataset), F.lit(revision), r), 256), 1, 20)))
     spot = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("semantic_id"), F.lit(bank)), 256), 1, 16), 16, 10).cast("decimal(20,0)")
