@@ -407,11 +407,60 @@ def test_unknown_languages_go(spark):
     assert {x.doc_id for x in gone.collect()} == {10**9 + i for i in range(len(bad))}
 
 
+NOTICES = {
+    "This file is subject to the Apache\n/ License, Version 2.0": {"apache-2.0"},
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": {"unknown"},
+    "Distributed under the terms of the ISC license": {"unknown"},
+    "Licence MIT": {"mit"},
+    "Lizenziert unter der MIT-Lizenz": {"mit"},
+    "Eclipse Public License v2.0 applies": {"unknown"},
+    "Dual licensed under MIT or Apache-2.0": {"mit", "apache-2.0"},
+    "This work is licensed under the GNU General Public License, version 3.": {"gpl"},
+    "All rights reserved.": {"proprietary"},
+    "Licensed under CC BY-NC 4.0.": {"cc-by-nc"},
+    "Er geht mit dem Hund.": set(),
+    "Ungte mit.": set(),
+    "The license plate was lost on the common road.": set(),
+    "It was released under pressure.": set(),
+}
+
+
 def test_licenses(spark):
-    rows = [(1, "foo\nLicensed under the MIT License.\nbar"), (2, "Er geht mit dem Hund."), (3, None), (4, ""), (5, "All rights reserved."), (6, "The license plate was lost on the common road.")]
-    got = {(r.doc_id, r.paragraph): (r.family, r.confirmed) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1, 1] == ("mit", True) and got[5, 0] == ("proprietary", True)
-    assert all(v == ("unknown", False) for k, v in got.items() if k[0] in (2, 6))
+    rows = [(i, t) for i, t in enumerate(NOTICES)] + [(90, None), (91, ""), (92, "\n\n"), (93, "foo.\nLicensed under the MIT License.\nbar"), (None, "All rights reserved."), (94, "All rights reserved."), (94, "All rights reserved."), (95, "x " * 50_000 + "\n\nReleased under the MIT License.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"paragraph": F.lit("clash"), "family": F.lit(1), "p": F.lit(2)})
+    got = license_scan.scan_licenses(df).collect()
+    for i, want in enumerate(NOTICES.values()):
+        assert {r.family for r in got if r.doc_id == i} == want, i
+    assert [(r.paragraph, r.family, r.confirmed) for r in got if r.doc_id == 93] == [(1, "mit", True)]
+    assert [r.family for r in got if r.doc_id is None] == ["proprietary"] and sum(r.doc_id == 94 for r in got) == 2
+    assert [(r.paragraph, r.family) for r in got if r.doc_id == 95] == [(1, "mit")] and not any(r.doc_id in (90, 91, 92) for r in got)
+    assert license_scan.scan_licenses(df.where("doc_id < 0")).count() == 0
+    assert "Python" not in license_scan.scan_licenses(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_licenses_against_definition(spark):
+    r = random.Random(31)
+    lines = [t for t, *_ in license_scan.labelled(license_scan.corpus()["frames"])]
+    texts = ["\n".join(r.choice([r.choice(lines), prose(r.randint(1, 9)), prose(r.randint(1, 9)) + ".", ""]) for _ in range(r.randint(1, 12))) for _ in range(150)]
+    want = {(i, k, f) for i, t in enumerate(texts) for k, par in enumerate(re.split(license_scan._END, t)) for f in license_scan.predict(par)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for skip in (True, False):
+        assert {(x.doc_id, x.paragraph, x.family) for x in license_scan.scan_licenses(df, skip=skip).collect()} == want
+    assert len(want) > 150
+
+
+def test_licenses_of_unseen_ways(spark):
+    rows = license_scan.labelled(license_scan.corpus()["frames"])
+    classes, *_ = license_scan.trained()
+    out = np.array([n % 5 == 1 for *_, n in rows])
+    x, y = license_scan._matrix(rows, license_scan.features([r for r, o in zip(rows, out) if not o]), classes)
+    w, b = license_scan.fit(x[~out], y[~out])
+    hit = {"known": [], "unknown": [], "clean": []}
+    for (_, label, _), z in zip([r for r, o in zip(rows, out) if o], x[out] @ w + b):
+        said = {c for c, v in zip(classes[:-1], z) if v >= 0}
+        kind = "clean" if not label else "unknown" if license_scan.UNKNOWN in label else "known"
+        hit[kind].append(label <= said if kind == "known" else not said and (z[-1] >= 0) == (kind == "unknown"))
+    assert all(np.mean(v) > 0.9 for v in hit.values()), {k: np.mean(v) for k, v in hit.items()}
 
 
 def test_decontaminate(spark):

@@ -1,126 +1,194 @@
 """Licence notices in texts: a trained paragraph classifier, a calibrated unknown class, template confirmation.
 
-Training (driver, NumPy, a fixed set of notices written for this module): multinomial logistic regression on word 1- to
-3-grams, made sparse by an L1 penalty, over the licence families and ``unknown``, which is learnt from paragraphs that use
-the same words in other ways. Features hold one of the licence words in ANCHORS, so a paragraph without any of them has no
-features and is unknown by the intercepts alone; the scan drops it before it looks further. Probabilities are calibrated
-by a temperature fitted on notices held out from training; a prediction under MIN_PROBABILITY is unknown. A family is
-confirmed if the paragraph holds enough of the word pairs of one of the family's templates.
-
-Scoring uses DataFrame functions only: split, filter, transform, aggregate over a literal table of the learnt weights.
-It is a narrow scan of whole texts without a shuffle. Paragraphs are lines. Null and empty texts give no rows; repeated rows
-give their rows each; an empty table gives none; other columns are ignored.
+Training (driver, NumPy) is on the labelled corpus of ``notices.json``: a few dozen ways to state a licence, each with the
+names of each family, sentences of the licences' own texts, the same ways with other licences' names, and with words that
+name no licence. Logistic regression on the word 1- to 3-grams of a paragraph, made sparse by an L1 penalty, has a head for
+each family and one for "this is a licence notice", so a notice may be of several families. The heads are calibrated by a
+temperature fitted on a third of the ways that the fitted models have not seen, a third at a time. A notice in which no
+family reaches MIN_PROBABILITY is ``unknown``; a paragraph that is no notice gives no row. A family is confirmed if the
+paragraph holds enough of the words, in pairs, of one of its names or sentences.
+
+A paragraph ends at an empty line, or at the end of a line that ends a sentence: a notice wrapped over lines is one
+paragraph. Scoring uses DataFrame functions only, in a narrow scan of whole texts without a shuffle. A head only passes with
+a feature of positive weight, so paragraphs without any of the words that those features need (``needed_words``, read off
+the weights) are not scored further; the result is the same with and without that step.
+
+Null and empty texts give no rows; repeated rows give their rows each, also with a null doc_id; an empty table gives none;
+other columns are ignored; long texts are scored whole.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
+from importlib import resources
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
 MIN_PROBABILITY, MIN_SIMILARITY = 0.5, 0.5
-
-# Words without which a line is no licence notice.
-ANCHORS = ("license", "licensed", "licenses", "licence", "licenced", "copyright", "copyrighted", "reserved", "commons", "cc", "gpl", "gplv3", "lgpl", "apache", "mit", "bsd", "mozilla", "mpl", "unlicense", "permission", "redistribution", "warranty", "warranties", "public domain")
-# Notices by family.
-TEMPLATES = {
-    "apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "This project is released under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0"),
-    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted.", "This software is released under the BSD 3-Clause License.", "Licensed under the BSD license.", "SPDX-License-Identifier: BSD-3-Clause"),
-    "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Content is available under the Creative Commons Attribution License."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Content is available under CC BY-NC."),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under CC BY-SA."),
-    "cc0": ("This work is dedicated to the public domain under CC0 1.0.", "Released into the public domain.", "Licensed under CC0 1.0 Universal."),
-    "gpl": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it under the terms of the GNU General Public License.", "Licensed under the GPL, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later"),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only"),
-    "mit": ("Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", "Released under the MIT license.", "SPDX-License-Identifier: MIT"),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0.", "SPDX-License-Identifier: MPL-2.0"),
-    "proprietary": ("All rights reserved.", "Copyright. All rights reserved. No part may be reproduced without permission.", "This material is proprietary and confidential; all rights reserved."),
-}
-# The same words in other use.
-OTHER_USE = ("He lost his driving license on the way home.", "The license plate was covered with mud.", "A table was reserved for six people.", "The seats are reserved for members.", "She is a reserved and quiet person.", "The house of commons debated for hours.", "They walked over the village commons.", "Copyright law is taught in the second year.", "The lecture was about copyright and its history.", "An apache helicopter flew over the camp.", "The apache people lived in the south.", "Students at mit built a robot.", "Permission was refused by the officer.", "With your permission we will begin.", "The warranty covers two years of repairs.", "The public domain was hardly discussed.", "Wealth redistribution was the topic of the day.", "A fishing licence costs ten coins.", "He was licensed to drive heavy vehicles.", "The engine has 1600 cc.", "Please send a cc to the whole office.", "Mozilla published a new browser.", "She gave permission to open the box.", "All seats were reserved long ago.", "The licensed bar closes at ten.", "Das Buch kam mit der Post.", "Er geht mit dem Hund.", "Sie kommt mit und bleibt.")
+GRAMS = 3
+#: Sentences of licences also stand inside other text; there are fewer of them than ways to state a name.
+AROUND = ("{}", "{} This is all.", "Here it is: {}", "The following holds here. {} See above for more.")
 _WORD = r"[^a-z0-9]+"
+_END = r"(?<=[.!?:;])[ \t\r]*\n|\n[ \t\r]*\n"
 
 
-def _words(text: str) -> list[str]:
+def words(text: str) -> list[str]:
     return [w for w in re.split(_WORD, text.lower()) if w]
 
 
-def _grams(words: list[str], n: int = 3) -> set[str]:
-    return {" ".join(words[i : i + k]) for k in range(1, n + 1) for i in range(len(words) - k + 1)}
-
-
-def _anchored(gram: str) -> bool:
-    return any(f" {a} " in f" {gram} " for a in ANCHORS)
+def grams(ws: list[str], n: int = GRAMS) -> set[str]:
+    return {" ".join(ws[i : i + k]) for k in range(1, n + 1) for i in range(len(ws) - k + 1)}
 
 
-def _fit(x: np.ndarray, y: np.ndarray, classes: int, l1: float = 2e-3, steps: int = 1500, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """Proximal gradient descent; each class weighs the same."""
-    w, b = np.zeros((x.shape[1], classes)), np.zeros(classes)
-    each = (1 / np.bincount(y, minlength=classes))[y][:, None] / classes
+@functools.lru_cache(1)
+def corpus() -> dict:
+    return json.loads(resources.files(__package__).joinpath("notices.json").read_text(encoding="utf-8"))
+
+
+def labelled(frames: list[str]) -> list[tuple[str, frozenset[str], int]]:
+    """(text, families, number of its frame): notices, with UNKNOWN for those of no family, and texts without a label."""
+    c = corpus()
+    rows, plain = [], {w for t in c["ordinary"] for w in words(t)}
+    # every third way for each name, in turn; a name that is an ordinary word too is no notice by itself
+    stated = lambda names, third: [(f.format(n), i) for i, f in enumerate(frames) for j, n in enumerate(names) if (i + j) % third == 0 and not (f.strip(".") == "{}" and set(words(n)) <= plain)]
+    for family, of in sorted(c["families"].items()):
+        rows += [(t, frozenset((family,)), i) for t, i in stated(of["names"], 2)]
+        rows += [(f.format(t), frozenset((family,)), j) for j, t in enumerate(of["sentences"]) for f in AROUND]
+    other = frozenset((UNKNOWN,))
+    rows += [(t, other, i) for t, i in stated(c["others"]["names"], 2)]
+    rows += [(f.format(t), other, j) for j, t in enumerate(c["others"]["sentences"]) for f in AROUND]
+    rows += [(t, frozenset(), i) for t, i in stated(c["fillers"], 2) if "icen" not in t and "izen" not in t]
+    rows += [(t, frozenset(), j) for j, t in enumerate(c["ordinary"])]
+    # ordinary texts are longer than notices: their words together must not add up to one
+    rows += [(" ".join(c["ordinary"][j :: 7]), frozenset(), j) for j in range(7)]
+    return rows
+
+
+def fit(x: np.ndarray, y: np.ndarray, l1: float = 5e-4, steps: int = 200, rate: float = 4.0, ordinary: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
+    """Proximal gradient descent of one logistic regression a column of y. Rows of both labels weigh the same in all; among
+    those without the label, texts that are no notice weigh ``ordinary`` times as much as other families' notices."""
+    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.full(y.shape[1], -2.0, np.float32)
+    y = y.astype(np.float32)
+    less = np.where(y[:, -1:] > 0, 1.0, ordinary) * (1 - y)
+    each = (np.where(y > 0, 0.5 / np.maximum(y.sum(axis=0), 1), 0.5 * less / np.maximum(less.sum(axis=0), 1))).astype(np.float32)
     for _ in range(steps):
-        p = np.exp((z := x @ w + b) - z.max(axis=1, keepdims=True))
-        g = (p / p.sum(axis=1, keepdims=True) - np.eye(classes)[y]) * each
-        w -= rate * x.T @ g
-        w = np.sign(w) * np.maximum(0, np.abs(w) - rate * l1)
-        b -= rate * g.sum(axis=0)
+        g = (1 / (1 + np.exp(-(x @ w + b))) - y) * each
+        w -= rate * (x.T @ g)
+        w = np.sign(w) * np.maximum(np.float32(0), np.abs(w) - np.float32(rate * l1))
+        b = np.minimum(b - np.float32(rate) * g.sum(axis=0), np.float32(-1.0))  # without any feature no head passes
     return w, b
 
 
+def _matrix(rows: list, names: list[str], classes: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    at = {n: i for i, n in enumerate(names)}
+    x = np.zeros((len(rows), len(names)), np.float32)
+    for i, (t, *_) in enumerate(rows):
+        x[i, [at[g] for g in grams(words(t)) if g in at]] = 1
+    y = np.array([[float(bool(k)) if c == UNKNOWN else float(c in k) for c in classes] for _, k, _ in rows])
+    return x, y
+
+
+def features(rows: list) -> list[str]:
+    """N-grams that two notices or more hold and no ordinary text: one that both hold tells nothing, nor one of a single text."""
+    count: dict[str, int] = {}
+    for t, k, _ in rows:
+        for g in grams(words(t)):
+            count[g] = count.get(g, 0) + 1 if k else -(10**9)
+    return sorted(g for g, c in count.items() if c > 1)
+
+
 @functools.lru_cache(1)
 def trained() -> tuple[tuple[str, ...], dict[str, tuple[float, ...]], tuple[float, ...], float]:
-    """Classes, weights by feature, intercepts and temperature. Deterministic; about 80 notices, under 500 features."""
-    classes = (*sorted(TEMPLATES), UNKNOWN)
-    rows = [(t, classes.index(c)) for c, ts in sorted(TEMPLATES.items()) for t in ts] + [(t, len(classes) - 1) for t in OTHER_USE]
-    # a notice often stands inside a longer line
-    rows += [(f"The following holds here. {t} See above for more.", c) for t, c in rows]
-    sets = [{g for g in _grams(_words(t)) if _anchored(g)} for t, _ in rows]
-    names = sorted(set().union(*sets))
-    x = np.array([[g in s for g in names] for s in sets], float)
-    y = np.array([c for _, c in rows])
-    w, b = _fit(x, y, len(classes))
-    # calibration: models without every third notice, scored on those
-    grid, loss = np.linspace(0.3, 3, 28), np.zeros(28)
+    """Heads (the last one for any notice), weights by feature, intercepts and temperature. Deterministic."""
+    c = corpus()
+    classes = (*sorted(c["families"]), UNKNOWN)
+    rows = labelled(c["frames"])
+    names = features(rows)
+    x, y = _matrix(rows, names, classes)
+    w, b = fit(x, y)
+    grid, loss = np.linspace(0.5, 3, 26), np.zeros(26)
     for k in range(3):
-        out = np.arange(len(y)) % 3 == k
-        wk, bk = _fit(x[~out], y[~out], len(classes), steps=300)
-        z = (x[out] @ wk + bk)[:, None, :] / grid[None, :, None]
-        z -= z.max(axis=2, keepdims=True)
-        loss -= np.take_along_axis(z - np.log(np.exp(z).sum(axis=2, keepdims=True)), y[out][:, None, None], 2)[:, :, 0].sum(axis=0)
-    used = np.abs(w).max(axis=1) > 1e-9
-    weights = {n: tuple(np.round(v, 6).tolist()) for n, v, u in zip(names, w, used, strict=True) if u}
-    return classes, weights, tuple(np.round(b, 6).tolist()), float(round(grid[loss.argmin()], 6))
-
-
-def scan_licenses(docs: DataFrame, min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """doc_id, paragraph (line from 0), family, probability, similarity, confirmed of each line that may be a notice."""
+        out = np.array([n % 3 == k for *_, n in rows])
+        wk, bk = fit(x[~out], y[~out], steps=80)
+        z = (x[out] @ wk + bk)[:, :, None] / grid
+        loss += np.logaddexp(0, np.where(y[out][:, :, None] > 0, -z, z)).sum(axis=(0, 1))
+    used = np.abs(w).max(axis=1) > 1e-6
+    weights = {n: tuple(np.round(v, 5).tolist()) for n, v, u in zip(names, w, used, strict=True) if u}
+    return classes, weights, tuple(np.round(b, 5).tolist()), float(round(grid[loss.argmin()], 5))
+
+
+def common_words() -> dict[str, int]:
+    """How often the corpus's ordinary texts hold each word."""
+    out: dict[str, int] = {}
+    for t, k, _ in labelled(corpus()["frames"]):
+        for w in () if k else words(t):
+            out[w] = out.get(w, 0) + 1
+    return out
+
+
+def needed_words() -> tuple[str, ...]:
+    """Words of which each feature of positive weight holds one: its word that ordinary texts hold least, of equals the one
+    that most features hold. A paragraph without any of them has no such feature, so no head passes."""
+    _, weights, _, _ = trained()
+    seen, held = common_words(), {}
+    positive = [g.split() for g, v in weights.items() if max(v) > 0]
+    for ws in positive:
+        for w in set(ws):
+            held[w] = held.get(w, 0) + 1
+    return tuple(sorted({min(ws, key=lambda w: (seen.get(w, 0), -held[w], w)) for ws in positive}))
+
+
+def predict(text: str, min_probability: float = MIN_PROBABILITY) -> set[str]:
+    """The families of one paragraph, by the definition; UNKNOWN for a notice of none, empty if it is no notice."""
     classes, weights, bias, heat = trained()
-    anchor = r"(?i)(?<![a-zA-Z0-9])(" + "|".join(a.replace(" ", r"[^a-z0-9]+") for a in ANCHORS) + r")(?![a-zA-Z0-9])"
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(anchor)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).where(F.col("line").rlike(anchor))
-    w = F.filter(F.split(F.lower("line"), _WORD), lambda x: x != "")
-    row = lines.withColumn("w", w)
+    z = np.array(bias) + sum((np.array(weights[g]) for g in grams(words(text)) if g in weights), np.zeros(len(bias)))
+    p = 1 / (1 + np.exp(-z / heat))
+    said = {c for c, v in zip(classes[:-1], p, strict=False) if v >= min_probability}
+    return said or ({UNKNOWN} if p[-1] >= min_probability else set())
+
 
-    def runs(k: int):
-        spots = F.when(F.size("w") >= k, F.sequence(F.lit(1), F.size("w") - (k - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(spots, lambda i: F.concat_ws(" ", *[F.element_at("w", i + F.lit(j)) for j in range(k)]))
+def _runs(w: Column, k: int) -> Column:
+    spots = F.when(F.size(w) >= k, F.sequence(F.lit(1), F.size(w) - (k - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(spots, lambda i: F.concat_ws(" ", *[F.element_at(w, i + F.lit(j)) for j in range(k)]))
 
-    row = row.withColumn("pairs", F.array_distinct(runs(2))).withColumn("grams", F.array_distinct(F.concat(F.col("w"), F.col("pairs"), runs(3))))
+
+def scan_licenses(docs: DataFrame, min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY, skip: bool = True) -> DataFrame:
+    """doc_id, paragraph (from 0), family, probability, similarity, confirmed: a row for each family of each notice. With
+    ``skip``, paragraphs that can't be one are left before they are scored."""
+    classes, weights, bias, heat = trained()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text") != "")
+    need = r"(?i)(?<![a-z0-9])(?:" + "|".join(needed_words()) + r")(?![a-z0-9])"
+    rows = rows.select("doc_id", F.posexplode(F.split("text", _END)).alias("paragraph", "par"))
+    rows = rows.where(F.col("par").rlike(need)) if skip else rows
+    w = F.filter(F.split(F.lower("par"), _WORD), lambda x: x != "")
+    row = rows.select("doc_id", "paragraph", w.alias("w")).withColumn("pairs", _runs(F.col("w"), 2))
+    row = row.withColumn("grams", F.array_distinct(F.concat("w", "pairs", _runs(F.col("w"), 3))))
     numbers = lambda v: F.array(*[F.lit(float(x)) for x in v])
     names = F.array(*[F.lit(n) for n in weights])
     table = F.map_from_arrays(names, F.array(*[numbers(v) for v in weights.values()]))
     known = F.array_intersect("grams", names)
     logits = F.aggregate(known, numbers(bias), lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b))
-    row = row.withColumn("z", F.transform(logits, lambda x: x / F.lit(heat)))
-    row = row.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
-    top = F.array_position("z", F.array_max("z"))
-    row = row.withColumn("said", F.element_at(F.array(*[F.lit(c) for c in classes]), top.cast("int"))).withColumn("probability", F.round(1 / F.aggregate("e", F.lit(0.0), lambda a, b: a + b), 6))
-    # the share of a template's word pairs that the line holds, for the family's best template
-    like = {c: [sorted({" ".join(p) for p in zip(x, x[1:], strict=False)}) for x in map(_words, ts)] for c, ts in TEMPLATES.items()}
-    share = lambda ps: F.size(F.array_intersect("pairs", F.array(*[F.lit(p) for p in ps]))) / F.lit(len(ps))
-    similarity = F.coalesce(*[F.when(F.col("said") == c, F.greatest(*[share(ps) for ps in pss if ps], F.lit(0.0))) for c, pss in sorted(like.items())], F.lit(0.0))
-    sure = F.col("probability") >= min_probability
-    row = row.withColumn("similarity", F.round(similarity, 6))
-    return row.select("doc_id", "paragraph", F.when(sure, F.col("said")).otherwise(UNKNOWN).alias("family"), "probability", "similarity", (sure & (F.col("said") != UNKNOWN) & (F.col("similarity") >= min_similarity)).alias("confirmed"))
+    row = row.withColumn("p", F.transform(logits, lambda z: 1 / (1 + F.exp(-z / F.lit(heat)))))
+    row = row.where(F.array_max("p") >= min_probability)
+    share = lambda ps, c: F.size(F.array_intersect(c, F.array(*[F.lit(p) for p in ps]))) / F.lit(len(ps))
+
+    def similarity(family: str) -> Column:
+        """The largest share of a name's or sentence's word pairs (the word, if it has one) that the paragraph holds."""
+        of, best = corpus()["families"][family], [F.lit(0.0)]
+        for t in map(words, of["names"] + of["sentences"]):
+            best.append(share(sorted({" ".join(x) for x in zip(t, t[1:], strict=False)}), "pairs") if len(t) > 1 else share(t, "w"))
+        return F.greatest(*best)
+
+    told = []
+    for i, c in enumerate(classes[:-1]):
+        p = F.get("p", F.lit(i))
+        told.append(F.when(p >= min_probability, F.struct(F.lit(c).alias("family"), F.round(p, 6).alias("probability"), F.round(similarity(c), 6).alias("similarity"))))
+    families = F.array_compact(F.array(*told))
+    none = F.array(F.struct(F.lit(UNKNOWN).alias("family"), F.round(F.get("p", F.lit(len(classes) - 1)), 6).alias("probability"), F.lit(0.0).alias("similarity")))
+    out = row.select("doc_id", "paragraph", F.explode(F.when(F.size(families) > 0, families).otherwise(none)).alias("e")).select("doc_id", "paragraph", "e.*")
+    return out.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= min_similarity))
