@@ -473,6 +473,35 @@ def test_decontaminate(spark):
     assert sorted(r.doc_id or 0 for r in decontaminate.drop_contaminated(docs, bench).collect()) == [0, 11, 13, 14]
 
 
+def test_decontaminate_against_definition(spark):
+    r = random.Random(17)
+    bench = {i: prose(r.randint(1, 40)) for i in range(25)} | {40: "a b c d e", 41: "a b c d", 42: "a b a b a b a b"}
+    texts = {}
+    for i in range(120):
+        w = []
+        for _ in range(r.randint(0, 4)):
+            part = r.choice(list(bench.values())).split() if r.random() < 0.7 else prose(r.randint(1, 30)).split()
+            cut = r.choice([0, 0, 1, 2, 5])
+            w += part[cut:] if r.random() < 0.5 else part[: len(part) - cut]
+        texts[i] = " ".join(w).upper() if i % 7 == 0 else " ".join(w)
+    texts[200] = " ".join(prose(30_000).split() + bench[3].split())
+    want = set()
+    for k, b in bench.items():
+        words = b.lower().split()
+        n = min(5, len(words))
+        own = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+        for d, t in texts.items():
+            w = t.lower().split()
+            share = len(own & {tuple(w[i : i + n]) for i in range(len(w) - n + 1)})
+            if share >= math.ceil(len(own) * 0.8 - 1e-12):
+                want.add((d, k, share, len(own)))
+    items = spark.createDataFrame(list(bench.items()), "item_id long, text string")
+    docs = spark.createDataFrame([*texts.items(), (5, texts[5])], "doc_id long, text string").withColumns({"n": F.lit(1), "shingle": F.lit("clash"), "size": F.lit(3)})
+    got = decontaminate.contained_items(docs, items.unionAll(items)).collect()
+    assert {(x.doc_id, x.item_id, x.n_shared, x.n_item) for x in got} == want and len(got) == len(want) > 30
+    assert "Python" not in decontaminate.contained_items(docs, items)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

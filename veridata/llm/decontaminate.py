@@ -4,7 +4,8 @@ Items are partitioned by the magnitude of their shingle count. An item's sketch
 bottom-k MinHash sketch), with k for its partition such that a document that holds at least 80 % of the item's shingles
 must hold one of the sketch: k is one more than the shingles that may be missing from the partition's largest item. So
 the search finds every containing document, however long, by one equi-join of its shingle hashes with the sketches, which
-hold about a fifth of the items' shingles. Each pair found is then verified by exact containment of all item shingles.
+hold about a fifth of the items' shingles. The search compares hashes; each pair found is then verified by the words of all
+item shingles. One pass over the documents makes their shingles, another reads the texts of those that were found.
 
 Words: lower case, split at ASCII white space. Items with fewer than five words are one shingle of their own length and
 are looked for among shingles of that length. Null, empty or blank items and texts match nothing. Repeated items with the
@@ -18,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 N, CONTAINMENT = 5, 0.8
-#: Sketch rows that may be broadcast (16 bytes each and the hash table's own share); beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Bytes of the sketches, or of the items' shingles, that may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 16 << 20
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -40,12 +41,22 @@ def grams(words: Column, n: int) -> Column:
     return F.element_at(F.transform(F.array(words), of), 1)
 
 
+def told(words: Column, n: int) -> Column:
+    """The runs of n words themselves, for the exact comparison."""
+
+    def of(w: Column) -> Column:
+        spots = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - F.lit(n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(spots, lambda i: F.array_join(F.slice(w, i, n), " "))
+
+    return F.element_at(F.transform(F.array(words), of), 1)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n, size, shingle): n words a shingle, size shingles."""
+    """(item_id, n, size, shingle, run): n words a shingle, size shingles; the hash and the words of each."""
     split = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text").cast("string")).alias("w")).where("item_id is not null and size(w) > 0")
     n = F.least(F.size("w"), F.lit(N))
-    made = F.coalesce(*[F.when(n == k, grams(F.col("w"), k)) for k in range(N, 0, -1)])
-    rows = split.select("item_id", n.alias("n"), F.explode(made).alias("shingle")).distinct()
+    made = F.coalesce(*[F.when(n == k, F.arrays_zip(grams(F.col("w"), k).alias("shingle"), told(F.col("w"), k).alias("run"))) for k in range(N, 0, -1)])
+    rows = split.select("item_id", n.alias("n"), F.explode(made).alias("e")).select("item_id", "n", "e.shingle", "e.run").distinct()
     return rows.join(rows.groupBy("item_id", "n").agg(F.count("*").alias("size")), ["item_id", "n"])
 
 
@@ -63,21 +74,21 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, containment: float =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     items = _items(benchmark)
     sketch = _sketches(items, containment)
-    shape = sketch.groupBy("n").agg(F.count("*").alias("rows")).collect()  # N rows at most
-    sized = F.broadcast if sum(r.rows for r in shape) <= BROADCAST_ROWS else lambda x: x
-    found = None
-    for r in sorted(shape):
-        words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-        rows = words.select("doc_id", (F.size("w") - (r.n - 1)).alias("room"), F.explode(grams(F.col("w"), r.n)).alias("shingle"))
-        hits = rows.join(sized(sketch.where(F.col("n") == r.n)), "shingle").where(F.col("room") >= F.ceil(F.col("size") * containment)).select("doc_id", "item_id").distinct()
-        own = items.where(F.col("n") == r.n).groupBy("item_id").agg(F.collect_set("shingle").alias("item"))
-        pairs = hits.join(sized(own), "item_id")
-        shared = F.size(F.array_intersect(F.col("item"), grams(words_of(F.col("text")), r.n)))
-        checked = docs.join(pairs, "doc_id").select("doc_id", "item_id", shared.cast("long").alias("n_shared"), F.size("item").cast("long").alias("n_item"))
-        found = checked if found is None else found.unionAll(checked)
-    if found is None:
+    shape = sorted(r.n for r in sketch.select("n").distinct().collect())  # N rows at most
+    if not shape:
         return spark.createDataFrame([], "doc_id long, item_id long, n_shared long, n_item long, containment double")
-    best = found.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
+    own = items.groupBy("item_id", "n").agg(F.collect_list("run").alias("item"))  # of one item
+    small = lambda rows, size: F.broadcast if (rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]) <= BROADCAST_BYTES else lambda x: x
+    # one pass over the documents makes the shingles of all lengths
+    made = F.element_at(F.transform(F.array(words_of(F.col("text"))), lambda w: F.struct(F.size(w).alias("n_words"), F.concat(*[grams(w, n) for n in shape]).alias("all"))), 1)
+    rows = docs.select("doc_id", made.alias("m")).select("doc_id", "m.n_words", F.explode("m.all").alias("shingle"))
+    room = F.col("n_words") - F.col("n") + 1 >= F.ceil(F.col("size") * containment)
+    hits = rows.join(small(sketch, F.lit(32))(sketch), "shingle").where(room).select("doc_id", "item_id", "n").distinct()
+    pairs = hits.join(small(items, F.octet_length("run") + 32)(own), ["item_id", "n"])
+    runs = F.coalesce(*[F.when(F.col("n") == n, told(words_of(F.col("text")), n)) for n in shape])
+    shared = F.size(F.array_intersect(F.col("item"), runs))
+    checked = docs.join(pairs, "doc_id").select("doc_id", "item_id", shared.cast("long").alias("n_shared"), F.size("item").cast("long").alias("n_item"))
+    best = checked.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
     return best.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("n_shared") >= F.ceil(F.col("n_item") * containment))
 
 
