@@ -70,7 +70,43 @@ def test_pii_is_linear_and_whole(spark, docs, none):
     assert pii.find_spans("1" * 200_000 + "a" * 200_000 + "@" * 2000) == []
     assert pii.pii_report(docs).count() == len(TEXTS) and pii.pii_report(none).count() == 0
     out = pii.redact_documents(docs)
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and out.where("text is null").count() == 1
+    assert out.columns == docs.columns and out.where("text is null").count() == 1 and pii.redact_documents(none).count() == 0
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    t = "Mail a.b@c-d.org or call +49 30 123456"
+    rows = [(1, t), (1, t), (None, t), (2, None), (3, ""), (None, None), (1, "other words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_tokens": F.lit("clash"), "spans": F.lit(1), "start": F.lit(2.0), "score": F.lit(True), "lang": F.lit("en")})
+    key = lambda r: repr(r)
+    ids = lambda got: sorted((r.doc_id for r in got), key=key)
+    want = sorted((i for i, _ in rows), key=key)
+    spans = pii.pii_report(df).collect()
+    assert ids(spans) == want and sorted(r.n_email for r in spans) == [0] * 4 + [1] * 3
+    assert sorted(pii.redact_documents(df).select("doc_id").collect(), key=key) == sorted(df.select("doc_id").collect(), key=key)
+    pieces = piece_codec.piece_report(df, tokenizer_path("piece_bpe_32k.model")).collect()
+    assert ids(pieces) == want and sum(r.n_tokens == 0 for r in pieces) == 3
+    lm = lm_score.score_texts(df).collect()
+    assert ids(lm) == want and {r.train_tokens for r in lm} == {sum(len((x or "").split()) + 1 for _, x in rows)}
+    store = sorted(token_store.token_report(df, tokenizer_path("byte_bpe_50k.json")).collect(), key=lambda r: r.start)
+    assert ids(store) == want and [r.start for r in store] == list(itertools.accumulate([0, *(r.n_tokens for r in store)]))[:-1]
+    assert [r.doc_id for r in store] == [None, None, 1, 1, 1, 2, 3]
+    assert ids(lang_id.predict_languages(df).collect()) == want
+    passage = prose(60)
+    twice = spark.createDataFrame([(1, passage), (1, passage), (2, f"x {passage}"), (None, passage), (None, passage), (4, f"{passage} and {passage}")], "doc_id long, text string").withColumn("block", F.lit("clash"))
+    got = substring_dedup.repeated_passages(twice).collect()
+    assert [r.removed_bytes for r in got if r.doc_id == 1] == [0, 0] and all(r.has_passage and (r.doc_id == 1) == (r.removed_bytes == 0) for r in got)
+    alone = substring_dedup.repeated_passages(twice.where("doc_id = 4")).first()
+    assert not alone.has_passage and substring_dedup.repeated_passages(twice.where("doc_id = 9")).count() == 0
+
+
+def test_empty_pipeline_stages(spark, docs, none):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, "/root/testdata/sf0.001")
+        assert out.count() == 0, name
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, "/root/testdata/sf0.001").columns == docs.columns, name
 
 
 def test_pieces(docs, none):

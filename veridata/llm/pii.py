@@ -176,7 +176,8 @@ def pii_report(docs: DataFrame) -> DataFrame:
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """The documents with personal data replaced and n_chars brought up to date; null texts stay null. A narrow map."""
+    """The documents with personal data replaced and n_chars brought up to date. A narrow map: null texts stay null, repeated
+    rows stay as often as they are, and all other columns stay as they are; an empty table stays empty."""
 
     def run(batches):
         import pyarrow as pa
@@ -186,7 +187,5 @@ def redact_documents(docs: DataFrame) -> DataFrame:
             new = [None if t is None else redact(t, s) if (s := find_spans(t)) else t for t in b.column(i).to_pylist()]
             yield b.set_column(i, b.schema.field(i), pa.array(new, b.schema.field(i).type))
 
-    cols = [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns]
-    out = docs.select(*cols)
-    out = out.mapInArrow(run, out.schema)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in cols else out
+    out = docs.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
