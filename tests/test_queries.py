@@ -289,5 +289,6 @@ def test_short_items_contaminate(spark):
     words = "alpha beta gamma delta epsilon zeta eta theta".split()
     items = spark.createDataFrame([(n, " ".join(words[:n])) for n in range(1, 9)] + [(20, "absent"), (21, None)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x " + " ".join(words) + " y"), (2, "xalphax"), (3, "alpha beta gamma"), (4, None)], "doc_id long, text string")
-    got = sorted(tuple(r) for r in sets.contains_reserved(docs, items).collect())
-    assert got == [(1, n) for n in range(1, 9)] + [(2, 1), (3, 1), (3, 2), (3, 3)]
+    for most in (1 << 20, 0):
+        got = sorted(tuple(r) for r in sets.contains_reserved(docs, items, most).collect())
+        assert got == [(1, n) for n in range(1, 9)] + [(2, 1), (3, 1), (3, 2), (3, 3)]

@@ -25,11 +25,11 @@ def hash_stratum(h: Column, strata: int) -> Column:
     return F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("double") * strata / float(1 << 32)).cast("int")
 
 
-def placed_by_hash(df: DataFrame, groups: list[str], h: str, ties: list[str], strata: int | None = None, name: str = "place") -> DataFrame:
-    """The rows with their place, from 0, in the order of the digest ``h`` inside their group (without groups: the table)."""
-    n = strata_for(df) if strata is None else strata
-    rows = df.withColumn("_s", hash_stratum(F.col(h), n))
-    inside = F.row_number().over(Window.partitionBy(*groups, "_s").orderBy(h, *ties)) - 1
+def placed(df: DataFrame, groups: list[str], stratum: Column, order: list[str], name: str = "place") -> DataFrame:
+    """The rows with their place, from 0, in ``order`` inside their group (without groups: the table). ``stratum`` numbers the
+    strata in that order."""
+    rows = df.withColumn("_s", stratum)
+    inside = F.row_number().over(Window.partitionBy(*groups, "_s").orderBy(*order)) - 1
     before = Window.partitionBy(*groups).orderBy("_s") if groups else Window.orderBy("_s")  # a row a stratum
     firsts = rows.groupBy(*groups, "_s").agg(F.count("*").alias("_c")).withColumn("_f", F.sum("_c").over(before) - F.col("_c")).drop("_c")
     same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in [*groups, "_s"]]
@@ -37,6 +37,12 @@ def placed_by_hash(df: DataFrame, groups: list[str], h: str, ties: list[str], st
     return met.select("a.*", (F.col("b._f") + F.col("a._i")).cast("long").alias(name)).drop("_s", "_i")
 
 
+def placed_by_hash(df: DataFrame, groups: list[str], h: str, ties: list[str], strata: int | None = None, name: str = "place") -> DataFrame:
+    """``placed`` in the order of the digest ``h``."""
+    n = strata_for(df) if strata is None else strata
+    return placed(df, groups, hash_stratum(F.col(h), n), [h, *ties], name)
+
+
 def value_edges(df: DataFrame, value: str, strata: int) -> list[float]:
     """Inner edges of about even strata of a numeric column: a sketch, merged map-side."""
     if strata <= 1:

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import digest, hash_int
-from ..functions.places import hash_stratum, placed_by_hash, running, strata_for
+from ..functions.places import hash_stratum, placed, placed_by_hash, running, strata_for, value_edges, value_stratum
 
 
 def direct_round_robin(df: DataFrame, key: str, field: str, total: int, strata: int | None = None) -> DataFrame:
     """``total`` rows, one of each value in turn."""
     rows = df.where(F.col(field).isNotNull()).select(F.col(key).alias("row_id"), F.col(field).alias("value"), digest(key).alias("h"))
-    placed = placed_by_hash(rows, ["value"], "h", ["row_id"], strata, name="turn")
-    return placed.orderBy("turn", "value").limit(total).select("row_id", "value", (F.col("turn") + 1).cast("int").alias("turn"))
+    turns = placed_by_hash(rows, ["value"], "h", ["row_id"], strata, name="turn")
+    return turns.orderBy("turn", "value").limit(total).select("row_id", "value", (F.col("turn") + 1).cast("int").alias("turn"))
 
 
 def same_group_pairs(df: DataFrame, key: str, group: str, largest: int = 1000) -> DataFrame:
@@ -40,6 +40,16 @@ def circle(df: DataFrame, key: str, group: str, strata: int | None = None) -> Da
     return placed_by_hash(rows, ["grp"], "h", ["row_id"], n).join(starts, "grp")
 
 
+def circular_next(df: DataFrame, key: str, group: str, strata: int | None = None) -> DataFrame:
+    """Each row of a group with the next one by key, the last with the first."""
+    n = strata_for(df) if strata is None else strata
+    rows = df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("row_id"), F.col(group).alias("grp"))
+    at = placed(rows, ["grp"], value_stratum(F.col("row_id"), value_edges(rows, "row_id", n)), ["row_id"])
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("m"))
+    asks = at.join(sizes, "grp").select("row_id", "grp", F.pmod(F.col("place") + 1, "m").alias("place"))
+    return asks.join(at.withColumnRenamed("row_id", "next"), ["grp", "place"]).select("row_id", "next")
+
+
 def neighborhood(df: DataFrame, key: str, group: str, same: int = 2, different: int = 2, ring: DataFrame | None = None) -> DataFrame:
     """Each row with the next ``same`` rows of its group's circle and ``different`` rows a largest group ahead. ``ring``: the
     circle, if it is made already."""
@@ -67,14 +77,14 @@ def tiered_negative(df: DataFrame, key: str, speaker: str, tiers: list[list[str]
     for i, cols in enumerate(tiers):
         g = [f"g{j}" for j in range(len(cols))]
         held = rows.select(F.col(key).alias("b"), F.col(speaker).alias("who"), *[F.col(c).alias(x) for c, x in zip(cols, g, strict=True)]).dropna(subset=[*g, "b"])
-        placed = placed_by_hash(held.withColumn("h", digest("b")), [*g, "who"], "h", ["b"], strata, name="at").drop("h")
+        at = placed_by_hash(held.withColumn("h", digest("b")), [*g, "who"], "h", ["b"], strata, name="at").drop("h")
         speakers = held.groupBy(*g, "who").agg(F.count("*").alias("size"))
         ring = placed_by_hash(speakers.withColumn("h", digest("who")), g, "h", ["who"], strata, name="turn").drop("h")
         each = ring.groupBy(*g).agg(F.count("*").alias("k")).where("k > 1")
         ring = ring.join(each, g) if g else ring.join(F.broadcast(each))  # one row
         pick, spot = hash_int(F.lit("speaker"), F.lit(i), "b"), hash_int(F.lit("row"), F.lit(i), "b")
         asks = held.join(ring, [*g, "who"]).select(*g, F.col("b").alias("a"), F.pmod(F.col("turn") + 1 + pick % (F.col("k") - 1), "k").alias("turn"), spot.alias("spot"))
-        found = asks.join(ring.select(*g, "turn", "who", "size"), [*g, "turn"]).withColumn("at", F.col("spot") % F.col("size")).join(placed, [*g, "who", "at"])
+        found = asks.join(ring.select(*g, "turn", "who", "size"), [*g, "turn"]).withColumn("at", F.col("spot") % F.col("size")).join(at, [*g, "who", "at"])
         out = out.join(found.select("a", F.col("b").alias(f"b{i}")), "a", "left")
     first = [F.col(f"b{i}") for i in range(len(tiers))]
     return out.select("a", F.coalesce(*first).alias("b"), F.coalesce(*[F.when(c.isNotNull(), F.lit(i)) for i, c in enumerate(first)]).alias("tier"))
@@ -86,9 +96,9 @@ def verification_plan(df: DataFrame, key: str, speaker: str, tiers: list[list[st
     holds the other way round is left out: ``plan_shortfall`` counts them."""
     rows = df.where(F.col(speaker).isNotNull()).select(F.col(key).alias("row_id"), F.col(speaker).alias("who"))
     strata = strata_for(rows)
-    placed = placed_by_hash(rows.withColumn("h", digest("row_id")), ["who"], "h", ["row_id"], strata)
+    held = placed_by_hash(rows.withColumn("h", digest("row_id")), ["who"], "h", ["row_id"], strata)
     sizes = rows.groupBy("who").agg(F.count("*").alias("m"))
-    ring = placed.join(sizes, "who").where("m > 1")
+    ring = held.join(sizes, "who").where("m > 1")
     next_ = ring.select(F.col("row_id").alias("a"), "who", F.pmod(F.col("place") + 1, "m").alias("place"), "m").where("m > 2 or place = 1")
     same = next_.join(ring.select("who", "place", F.col("row_id").alias("b")), ["who", "place"]).select("a", "b")
     other = tiered_negative(df, key, speaker, tiers, strata).join(same.select("a"), "a").where("b is not null")
@@ -116,14 +126,14 @@ def target_match(df: DataFrame, key: str, field: str, low: float = 0.6, high: fl
     size = lengths.agg(F.sum("c").alias("size"))
     near = steps.alias("x").join(F.broadcast(steps.alias("y")), (F.col("y.len") / F.col("x.len") >= low) & (F.col("y.len") / F.col("x.len") <= high), "left")
     near = near.groupBy(F.col("x.len").alias("len"), F.col("x.start").alias("start")).agg(F.min("y.start").alias("lo"), F.max("y.end").alias("hi")).join(F.broadcast(size))
-    placed = placed_by_hash(dom, ["len"], "h", ["v"], strata).join(F.broadcast(near), "len").withColumn("at", F.col("start") + F.col("place"))
+    domain = placed_by_hash(dom, ["len"], "h", ["v"], strata).join(F.broadcast(near), "len").withColumn("at", F.col("start") + F.col("place"))
     like = F.coalesce(F.col("hi") - F.col("lo") > 1, F.lit(False))
     lo, n = F.when(like, F.col("lo")).otherwise(F.lit(0)), F.when(like, F.col("hi") - F.col("lo")).otherwise(F.col("size"))
-    asks = df.select(F.col(key).alias("row_id"), F.col(field).cast("string").alias("v")).join(placed.select("v", "at", lo.alias("lo"), n.alias("n"), (~like).alias("fallback")).where("n > 1"), "v")
+    asks = df.select(F.col(key).alias("row_id"), F.col(field).cast("string").alias("v")).join(domain.select("v", "at", lo.alias("lo"), n.alias("n"), (~like).alias("fallback")).where("n > 1"), "v")
     # a place in the range without the own one
     step = F.col("lo") + F.pmod(F.col("at") - F.col("lo") + 1 + hash_int("row_id") % (F.col("n") - 1), "n")
     asks = asks.select("row_id", F.col("v").alias("positive"), "fallback", step.alias("at"))
-    return asks.join(placed.select("at", F.col("v").alias("negative")), "at").select("row_id", "positive", "negative", "fallback")
+    return asks.join(domain.select("at", F.col("v").alias("negative")), "at").select("row_id", "positive", "negative", "fallback")
 
 
 def selection(df: DataFrame, key: str, group: str, ring: DataFrame | None = None) -> DataFrame:

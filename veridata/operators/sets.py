@@ -15,18 +15,28 @@ def _words(c: str):
     return F.array_remove(F.split(F.col(c), r"\s+"), "")
 
 
-def contains_reserved(docs: DataFrame, reserved: DataFrame) -> DataFrame:
+def contains_reserved(docs: DataFrame, reserved: DataFrame, broadcast_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, item_id of texts that hold a reserved text as a substring.
 
     The second to sixth word of a held item of seven words or more stand whole in the text, so an equi-join on runs of five
-    words finds all candidates; the substring test decides. Shorter items are broadcast and tested against every text.
+    words finds all candidates; the substring test decides. Shorter items, up to ``broadcast_bytes`` of them, are tested
+    against every text; more of them meet the texts' pieces of their lengths by equality.
     """
     short = reserved.where(F.col("text").isNotNull() & (F.size(_words("text")) < _RUN + 2)).select("item_id", F.col("text").alias("needle"))
-    few = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(short), F.contains("text", "needle")).select("doc_id", "item_id")
+    texts = docs.where("text is not null").select("doc_id", "text")
+    if short.agg(F.coalesce(F.sum(F.octet_length("needle") + 32), F.lit(0))).first()[0] <= broadcast_bytes:
+        few = texts.join(F.broadcast(short), F.contains("text", "needle")).select("doc_id", "item_id")
+    else:
+        lengths = short.agg(F.collect_set(F.length("needle")).alias("lengths"))  # of texts of six words
+        spots = lambda n: F.when(F.length("text") >= n, F.sequence(F.lit(1), F.length("text") - n + 1)).otherwise(F.array().cast("array<int>"))
+        pieces = F.flatten(F.transform("lengths", lambda n: F.transform(spots(n), lambda i: F.xxhash64(F.substring(F.col("text"), i, n)))))
+        cut = texts.join(F.broadcast(lengths)).select("doc_id", F.explode(F.array_distinct(F.array_append(pieces, F.xxhash64(F.lit(""))))).alias("h"))
+        met = cut.join(short.withColumn("h", F.xxhash64("needle")), "h").select("doc_id", "item_id", "needle").distinct()
+        few = texts.join(met, "doc_id").where(F.contains("text", "needle")).select("doc_id", "item_id")
     items = reserved.select("item_id", F.col("text").alias("needle"), _words("text").alias("w")).where(F.size("w") >= _RUN + 2).select("item_id", "needle", F.xxhash64(*[F.element_at("w", i + 2) for i in range(_RUN)]).alias("run"))
     runs = F.element_at(F.transform(F.array(_words("text")), lambda w: F.transform(F.when(F.size(w) >= _RUN, F.sequence(F.lit(1), F.size(w) - (_RUN - 1))).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(_RUN)]))), 1)
-    met = docs.where("text is not null").select("doc_id", F.explode(F.array_distinct(runs)).alias("run")).join(items.select("item_id", "run"), "run").select("doc_id", "item_id").distinct()
-    return met.join(docs.select("doc_id", "text"), "doc_id").join(items.select("item_id", "needle"), "item_id").where(F.contains("text", "needle")).select("doc_id", "item_id").unionAll(few).distinct()
+    met = texts.select("doc_id", F.explode(F.array_distinct(runs)).alias("run")).join(items.select("item_id", "run"), "run").select("doc_id", "item_id").distinct()
+    return met.join(texts, "doc_id").join(items.select("item_id", "needle"), "item_id").where(F.contains("text", "needle")).select("doc_id", "item_id").unionAll(few).distinct()
 
 
 def duplicate_conflicts(docs: DataFrame, label: str) -> DataFrame:

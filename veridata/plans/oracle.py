@@ -87,7 +87,7 @@ ORACLES: dict[str, str] = {
     "q_audit_plan": _neighborhood(2, 2) + """, j AS (SELECT p.*, x.c_mktsegment AS ga, y.c_mktsegment AS gb FROM p JOIN customer x ON x.c_custkey = a JOIN customer y ON y.c_custkey = b)
       SELECT count(*) AS n, CAST(sum(((ga = gb) <> same)::INT) AS BIGINT) AS wrong_gold, CAST(sum((a = b)::INT) AS BIGINT) AS self_pairs, (SELECT CAST(sum((k > 1)::INT) AS BIGINT) FROM (SELECT count(*) AS k FROM j GROUP BY least(a, b), greatest(a, b))) AS repeated FROM j""",
     "q_dependency_manifest": _neighborhood(2, 2) + f"SELECT {_audio('customer', 'r')} AS audio_id, count(*) AS n_refs FROM (SELECT a AS r FROM p UNION ALL SELECT b FROM p) GROUP BY r",
-    "q_union_release": f"SELECT 'o' || row_id AS id, 'DIRECT' AS operator, CAST(template AS VARCHAR) AS answer FROM ({_TEMPLATE}) UNION ALL SELECT 'c' || anchor, 'SELECTION', answer FROM ({_SELECTION})",
+    "q_union_release": f"SELECT *, row_number() OVER (ORDER BY {_digest(chr(39) + 'union' + chr(39), 'id')}, id) - 1 AS place FROM (SELECT 'o' || row_id AS id, 'DIRECT' AS operator, CAST(template AS VARCHAR) AS answer FROM ({_TEMPLATE}) UNION ALL SELECT 'c' || anchor, 'SELECTION', answer FROM ({_SELECTION}))",
     "q_json_props": "SELECT event_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k, min(k) AS min_k, max(k) AS max_k FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY 1",
     "q_class_boundaries": f"WITH {_BANDED}, c AS (SELECT rank, min(p_size) AS a, max(p_size) AS z FROM b GROUP BY 1), l AS (SELECT rank, z AS low_most, lead(a) OVER (ORDER BY rank) AS high_least FROM c) SELECT *, high_least - low_most AS gap, high_least > low_most AS clean, round((low_most + high_least) / 2, 6) AS midpoint FROM l WHERE high_least IS NOT NULL",
     "q_monotonicity": f"WITH {_BANDED}, v AS (SELECT DISTINCT p_size, rank FROM b), l AS (SELECT lag(rank) OVER (ORDER BY p_size, rank) > rank AS f FROM v) SELECT (SELECT count(*) FROM v) AS n_pairs, (SELECT count(*) FROM l WHERE f) AS n_inversions, (SELECT count(*) FROM (SELECT p_size FROM v GROUP BY 1 HAVING count(*) > 1)) AS n_conflicts",

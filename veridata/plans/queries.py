@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
-from ..operators import calibrate, capacity, choices, pairs, profile, sets
+from ..operators import calibrate, capacity, choices, pairs, profile, samples, sets
 from ..sources.readers import table
 from .registry import query
 
@@ -137,11 +137,7 @@ def q_pairwise_selection(s, d):
 
 @query
 def q_circular_next(s, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return table(s, d, "supplier").select("s_suppkey", F.coalesce(F.lead("s_suppkey").over(w), F.first("s_suppkey").over(whole)).alias("next"))
+    return pairs.circular_next(table(s, d, "supplier"), "s_suppkey", "s_nationkey").withColumnRenamed("row_id", "s_suppkey")
 
 
 @query
@@ -297,7 +293,7 @@ def q_dependency_manifest(s, d):
 def q_union_release(s, d):
     a = q_template_hash(s, d).select(F.concat(F.lit("o"), F.col("row_id")).alias("id"), F.lit("DIRECT").alias("operator"), F.col("template").cast("string").alias("answer"))
     b = q_pairwise_selection(s, d).select(F.concat(F.lit("c"), F.col("anchor")).alias("id"), F.lit("SELECTION").alias("operator"), "answer")
-    return a.unionByName(b)
+    return samples.canonical_order(a.unionByName(b), "id", "union")
 
 
 @query
