@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import digest
+from ..functions.keys import digest, hash_int
 from ..functions.places import strata_for
-from ..functions.text import as_column, canonical_json, collapse
-from .pairs import circle, direct_round_robin, selection, target_match
+from ..functions.text import as_column, canonical_json, collapse, split_key
+from .pairs import circle, circular_next, direct_round_robin, selection, target_match
 
 OPERATORS = ("DIRECT", "EQUALITY", "TARGET_MATCH", "PAIRWISE_SELECTION")
 #: By operator: rows a question is about, the answer's kind, whether the question shows a target.
@@ -174,6 +174,41 @@ def instances(rows: DataFrame, key: str, hidden: str, contract: Contract, total:
     return got.select(F.lit(contract.type_id).alias("type_id"), F.lit(contract.operator).alias("operator"), F.lit(f).alias("field"), "row_ids", "target", "gold")
 
 
+def alternating(rows: DataFrame, key: str, field: str, total: int) -> DataFrame:
+    """row_id, target, gold, side of the first ``total`` rows in hash order: their own value and another one in turn, and the
+    sides A and B in turn by pairs of rows, so that neither follows from the other."""
+    met = target_match(rows, key, field).withColumn("h", digest(F.lit("indexed"), "row_id")).orderBy("h", "row_id").limit(total)
+    i = F.row_number().over(Window.orderBy("h", "row_id")) - 1  # ``total`` rows
+    met = met.withColumn("i", i).withColumn("gold", F.col("i") % 2 == 0)
+    return met.select("row_id", F.when(F.col("gold"), F.col("positive")).otherwise(F.col("negative")).alias("target"), "gold", F.when(F.floor(F.col("i") / 2) % 2 == 0, "A").otherwise("B").alias("side"))
+
+
+def preview_pairs(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """same, equal, a, b: of pairs (a, b, same) of one or of two speakers the first by hash whose rows' values (row_id, value) are
+    equal, and the first whose are not."""
+    v = lambda side: values.select(F.col("row_id").alias(side), F.col("value").alias(f"v{side}"))
+    met = pairs.select("a", "b", "same").join(v("a"), "a").join(v("b"), "b").withColumn("equal", F.col("va").eqNullSafe(F.col("vb")))
+    first = met.groupBy("same", "equal").agg(F.min(F.struct(digest(F.lit("preview"), "a", "b").alias("h"), F.col("a"), F.col("b"))).alias("f"))
+    return first.select("same", "equal", "f.a", "f.b")
+
+
+def external_split(rows: DataFrame, key: str, text: str, reference: str) -> DataFrame:
+    """type, row_ids, gold of a split that has no contracts: every text to be transcribed, whether it matches its reference,
+    pairs of equal texts, as many pairs of unequal ones as make up the number of rows (none are left out silently: fewer
+    only if one text is half of all), and each row beside the next one, by side. Rows without a text give none."""
+    norm = lambda c: F.sha2(split_key(c), 256)
+    held = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), norm(text).alias("g"), (norm(text) == norm(F.coalesce(F.col(reference), F.lit("")))).alias("match"), F.lit(1).alias("one"))
+    n = held.count()
+    same = equality_positive(held, "id", "g", "id", n)
+    other = equality_negative(held, "id", "g", max(0, n - same.count()))
+    ids = lambda *c: F.array(*[F.col(x).cast("string") for x in c])
+    row = lambda df, kind, cols, gold: df.select(F.lit(kind).alias("type"), ids(*cols).alias("row_ids"), gold.cast("string").alias("gold"))
+    after = circular_next(held, "id", "one").withColumn("first", hash_int(F.lit("next"), "row_id") % 2 == 0)
+    beside = after.select(F.when(F.col("first"), F.col("row_id")).otherwise(F.col("next")).alias("a"), F.when(F.col("first"), F.col("next")).otherwise(F.col("row_id")).alias("b"), F.when(F.col("first"), "A").otherwise("B").alias("gold"))
+    parts = [row(held, "TRANSCRIBE", ["id"], F.col("g")), row(held, "REFERENCE_MATCH", ["id"], F.col("match")), row(same, "PAIR_EQUALITY", ["a", "b"], F.lit(True)), row(other, "PAIR_EQUALITY", ["a", "b"], F.lit(False)), row(beside, "SELECTION", ["a", "b"], F.col("gold"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def semantic_id(dataset: str, revision: str) -> Column:
     """Id of an instance by what it asks: its type, rows in order, target and gold."""
     payload = canonical_json(dataset=F.lit(dataset), gold="gold", revision=F.lit(revision), rows="row_ids", target="target", type="type_id")

@@ -179,4 +179,13 @@ ORACLES["q_eval_matrix"] = f"SELECT g AS gold, coalesce(s, 'UNREAD') AS said, co
 ORACLES["q_eval_answers"] = """WITH g AS (SELECT o_orderkey % 6 AS k, CASE WHEN contains(o_orderpriority, '-') THEN string_split(o_orderpriority, '-')[-1] ELSE o_orderpriority END AS gold FROM orders)
   SELECT gold, said, how, count(*) AS n FROM (SELECT gold, CASE WHEN k IN (0, 1) AND gold IN ('LOW', 'HIGH', 'URGENT', 'MEDIUM') THEN gold WHEN k = 2 THEN 'HIGH' END AS said,
     CASE WHEN k = 0 AND gold IN ('LOW', 'HIGH', 'URGENT', 'MEDIUM') THEN 'exact' WHEN k = 1 AND gold IN ('LOW', 'HIGH', 'URGENT', 'MEDIUM') THEN 'contained' WHEN k = 2 THEN 'letter' ELSE 'unread' END AS how FROM g) GROUP BY 1, 2, 3"""
+_DG = _digest("'indexed'", "row_id")
+ORACLES["q_alternating_sample"] = f"SELECT row_id, CASE WHEN i % 2 = 0 THEN positive ELSE negative END AS target, i % 2 = 0 AS gold, CASE WHEN i // 2 % 2 = 0 THEN 'A' ELSE 'B' END AS side FROM (SELECT *, row_number() OVER (ORDER BY {_DG}, row_id) - 1 AS i FROM ({ORACLES['q_target_match']})) WHERE i < 100"
+_NEXT = _hash_int("'next'", "doc_id")
+ORACLES["q_external_split"] = rf"""WITH k AS (SELECT doc_id, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS g, CASE doc_id % 3 WHEN 0 THEN '  ' || text WHEN 1 THEN text || '.' ELSE '' END AS r FROM documents WHERE text IS NOT NULL),
+  z AS (SELECT count(*) AS m FROM k GROUP BY g), t AS (SELECT count(*) AS n FROM k), p AS (SELECT sum(CASE WHEN m > 2 THEN m WHEN m = 2 THEN 1 ELSE 0 END)::BIGINT AS p, 2 * max(m) < sum(m) AS ok FROM z),
+  e AS (SELECT 'TRANSCRIBE' AS type, 'text' AS gold, n FROM t UNION ALL SELECT 'REFERENCE_MATCH', (g = trim(regexp_replace(lower(r), '\s+', ' ', 'g')))::VARCHAR, count(*) FROM k GROUP BY 2 UNION ALL SELECT 'PAIR_EQUALITY', 'true', p FROM p UNION ALL SELECT 'PAIR_EQUALITY', 'false', n - p FROM p, t WHERE ok UNION ALL SELECT 'SELECTION', CASE WHEN {_NEXT} % 2 = 0 THEN 'A' ELSE 'B' END, count(*) FROM k GROUP BY 2)
+  SELECT type, gold, n, n AS n_sets FROM e"""
+_DP = _digest("'preview'", "a", "b")
+ORACLES["q_preview_pairs"] = _VERIFY + f", m AS (SELECT p.a, p.b, p.same, x.o_orderstatus = y.o_orderstatus AS eq, {_DP} AS h FROM p JOIN orders x ON x.o_orderkey = p.a JOIN orders y ON y.o_orderkey = p.b) SELECT same, eq AS equal, arg_min(a, h) AS a, arg_min(b, h) AS b FROM m GROUP BY 1, 2"
 ORACLES.update(_STATED)

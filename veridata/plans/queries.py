@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
-from ..operators import calibrate, capacity, choices, pairs, profile, samples, sets
+from ..operators import calibrate, capacity, choices, pairs, plan, profile, samples, sets
 from ..sources.readers import table
 from .registry import query
 
@@ -130,6 +130,25 @@ def q_target_match(s, d):
     return pairs.target_match(table(s, d, "part"), "p_partkey", "p_type")
 
 
+@query
+def q_alternating_sample(s, d):
+    return plan.alternating(table(s, d, "part"), "p_partkey", "p_type", 100)
+
+
+@query
+def q_external_split(s, d):
+    t = F.col("text")
+    docs = table(s, d, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("  "), t)).when(F.col("doc_id") % 3 == 1, F.concat(t, F.lit("."))).alias("reference"))
+    out = plan.external_split(docs, "doc_id", "text", "reference")
+    gold = F.when(F.col("type") == "TRANSCRIBE", "text").otherwise(F.col("gold"))
+    return out.groupBy("type", gold.alias("gold")).agg(F.count("*").alias("n"), F.countDistinct(F.array_join(F.array_sort("row_ids"), ",")).alias("n_sets"))
+
+
+@query
+def q_preview_pairs(s, d):
+    return plan.preview_pairs(q_verification_plan(s, d), table(s, d, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_orderstatus").alias("value")))
+
+
 @query
 def q_pairwise_selection(s, d):
     return pairs.selection(table(s, d, "customer"), "c_custkey", "c_mktsegment")
