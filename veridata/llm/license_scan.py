@@ -9,9 +9,9 @@ family reaches MIN_PROBABILITY is ``unknown``; a paragraph that is no notice giv
 paragraph holds enough of the words, in pairs, of one of its names or sentences.
 
 A paragraph ends at an empty line, or at the end of a line that ends a sentence: a notice wrapped over lines is one
-paragraph. Scoring uses DataFrame functions only, in a narrow scan of whole texts without a shuffle. A head only passes with
-a feature of positive weight, so paragraphs without any of the words that those features need (``needed_words``, read off
-the weights) are not scored further; the result is the same with and without that step.
+paragraph. Scoring uses DataFrame functions only, in a narrow scan of whole texts without a shuffle. Paragraphs without any
+of some words read off the weights (``needed_words``) are not scored: all other features together can't make a head pass, so
+the result is the same with and without that step.
 
 Null and empty texts give no rows; repeated rows give their rows each, also with a null doc_id; an empty table gives none;
 other columns are ignored; long texts are scored whole.
@@ -131,16 +131,31 @@ def common_words() -> dict[str, int]:
     return out
 
 
-def needed_words() -> tuple[str, ...]:
-    """Words of which each feature of positive weight holds one: its word that ordinary texts hold least, of equals the one
-    that most features hold. A paragraph without any of them has no such feature, so no head passes."""
-    _, weights, _, _ = trained()
-    seen, held = common_words(), {}
-    positive = [g.split() for g, v in weights.items() if max(v) > 0]
-    for ws in positive:
-        for w in set(ws):
-            held[w] = held.get(w, 0) + 1
-    return tuple(sorted({min(ws, key=lambda w: (seen.get(w, 0), -held[w], w)) for ws in positive}))
+@functools.lru_cache(4)
+def needed_words(min_probability: float = MIN_PROBABILITY) -> tuple[str, ...]:
+    """Words without any of which no head can pass: all positive weights of the features that hold none of them, taken
+    together, leave each head under the probability. Picked one by one, by the weight they account for in the heads that
+    could still pass, over how common they are in ordinary texts."""
+    _, weights, bias, heat = trained()
+    seen = common_words()
+    room = heat * np.log(min_probability / (1 - min_probability)) - np.array(bias) - 1e-6
+    left = {g: np.maximum(0, v) for g, v in weights.items() if max(v) > 0}
+    of: dict[str, set[str]] = {}
+    for g in left:
+        for w in g.split():
+            of.setdefault(w, set()).add(g)
+    picked = []
+    while left and ((open_ := sum(left.values()) - room) > 0).any():
+        over = open_ > 0
+        gain = {w: sum(left[g][over].sum() for g in gs) / (1 + 3 * seen.get(w, 0)) for w, gs in of.items()}
+        best = max(gain, key=lambda w: (gain[w], w))
+        picked.append(best)
+        for g in of.pop(best):
+            del left[g]
+            for w in g.split():
+                if w in of:
+                    of[w].discard(g)
+    return tuple(sorted(picked))
 
 
 def predict(text: str, min_probability: float = MIN_PROBABILITY) -> set[str]:
@@ -162,33 +177,38 @@ def scan_licenses(docs: DataFrame, min_probability: float = MIN_PROBABILITY, min
     ``skip``, paragraphs that can't be one are left before they are scored."""
     classes, weights, bias, heat = trained()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text") != "")
-    need = r"(?i)(?<![a-z0-9])(?:" + "|".join(needed_words()) + r")(?![a-z0-9])"
+    need = r"(?i)(?<![a-z0-9])(?:" + "|".join(needed_words(min_probability)) + r")(?![a-z0-9])"
     rows = rows.select("doc_id", F.posexplode(F.split("text", _END)).alias("paragraph", "par"))
     rows = rows.where(F.col("par").rlike(need)) if skip else rows
-    w = F.filter(F.split(F.lower("par"), _WORD), lambda x: x != "")
-    row = rows.select("doc_id", "paragraph", w.alias("w")).withColumn("pairs", _runs(F.col("w"), 2))
-    row = row.withColumn("grams", F.array_distinct(F.concat("w", "pairs", _runs(F.col("w"), 3))))
     numbers = lambda v: F.array(*[F.lit(float(x)) for x in v])
     names = F.array(*[F.lit(n) for n in weights])
     table = F.map_from_arrays(names, F.array(*[numbers(v) for v in weights.values()]))
-    known = F.array_intersect("grams", names)
-    logits = F.aggregate(known, numbers(bias), lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b))
-    row = row.withColumn("p", F.transform(logits, lambda z: 1 / (1 + F.exp(-z / F.lit(heat)))))
-    row = row.where(F.array_max("p") >= min_probability)
     share = lambda ps, c: F.size(F.array_intersect(c, F.array(*[F.lit(p) for p in ps]))) / F.lit(len(ps))
 
-    def similarity(family: str) -> Column:
+    def probabilities(found: Column) -> Column:
+        """Of each head, from the distinct grams of a paragraph."""
+        logits = F.aggregate(F.array_intersect(found, names), numbers(bias), lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b))
+        return F.transform(logits, lambda z: 1 / (1 + F.exp(-z / F.lit(heat))))
+
+    def similarity(family: str, w: Column, pairs: Column) -> Column:
         """The largest share of a name's or sentence's word pairs (the word, if it has one) that the paragraph holds."""
         of, best = corpus()["families"][family], [F.lit(0.0)]
         for t in map(words, of["names"] + of["sentences"]):
-            best.append(share(sorted({" ".join(x) for x in zip(t, t[1:], strict=False)}), "pairs") if len(t) > 1 else share(t, "w"))
+            best.append(share(sorted({" ".join(x) for x in zip(t, t[1:], strict=False)}), pairs) if len(t) > 1 else share(t, w))
         return F.greatest(*best)
 
-    told = []
-    for i, c in enumerate(classes[:-1]):
-        p = F.get("p", F.lit(i))
-        told.append(F.when(p >= min_probability, F.struct(F.lit(c).alias("family"), F.round(p, 6).alias("probability"), F.round(similarity(c), 6).alias("similarity"))))
-    families = F.array_compact(F.array(*told))
-    none = F.array(F.struct(F.lit(UNKNOWN).alias("family"), F.round(F.get("p", F.lit(len(classes) - 1)), 6).alias("probability"), F.lit(0.0).alias("similarity")))
-    out = row.select("doc_id", "paragraph", F.explode(F.when(F.size(families) > 0, families).otherwise(none)).alias("e")).select("doc_id", "paragraph", "e.*")
+    def told(w: Column, pairs: Column, p: Column) -> Column:
+        """The families that pass, UNKNOWN if only the head for any notice does, none otherwise."""
+        said = lambda c, i, like: F.struct(F.lit(c).alias("family"), F.round(F.get(p, F.lit(i)), 6).alias("probability"), like.alias("similarity"))
+        over = lambda i: F.get(p, F.lit(i)) >= min_probability
+        families = F.array_compact(F.array(*[F.when(over(i), said(c, i, F.round(similarity(c, w, pairs), 6))) for i, c in enumerate(classes[:-1])]))
+        last = len(classes) - 1
+        none = F.array_compact(F.array(F.when(over(last), said(UNKNOWN, last, F.lit(0.0)))))
+        return F.when(F.exists(F.slice(p, 1, last), lambda v: v >= min_probability), families).otherwise(none)
+
+    # each step is bound to a lambda variable, so that it is made once a paragraph
+    once = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)
+    split = F.filter(F.split(F.lower("par"), _WORD), lambda x: x != "")
+    notices = once(split, lambda w: once(_runs(w, 2), lambda pairs: once(probabilities(F.array_distinct(F.concat(w, pairs, _runs(w, 3)))), lambda p: told(w, pairs, p))))
+    out = rows.select("doc_id", "paragraph", F.explode(notices).alias("e")).select("doc_id", "paragraph", "e.*")
     return out.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= min_similarity))
