@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "unknown"
 MIN_PROBABILITY, MIN_SIMILARITY = 0.5, 0.5
 GRAMS = 3
+#: Weights below this are left out: they tell little, but common words hold many of their features.
+LEAST_WEIGHT = 0.3
 #: Sentences of licences also stand inside other text; there are fewer of them than ways to state a name.
 AROUND = ("{}", "{} This is all.", "Here it is: {}", "The following holds here. {} See above for more.")
 _WORD = r"[^a-z0-9]+"
@@ -81,7 +83,7 @@ def fit(x: np.ndarray, y: np.ndarray, l1: float = 5e-4, steps: int = 200, rate:
         w -= rate * (x.T @ g)
         w = np.sign(w) * np.maximum(np.float32(0), np.abs(w) - np.float32(rate * l1))
         b = np.minimum(b - np.float32(rate) * g.sum(axis=0), np.float32(-1.0))  # without any feature no head passes
-    return w, b
+    return np.where(np.abs(w) < LEAST_WEIGHT, np.float32(0), w), b
 
 
 def _matrix(rows: list, names: list[str], classes: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
