@@ -35,6 +35,7 @@ GRAMS = 3
 LEAST_WEIGHT = 0.3
 #: Sentences of licences also stand inside other text; there are fewer of them than ways to state a name.
 AROUND = ("{}", "{} This is all.", "Here it is: {}", "The following holds here. {} See above for more.")
+MORE_AROUND = ("Note that {}", "{} Thank you.", "Legal: {}", "He wrote: {} And he left.", "{} So it goes on.", "Read this. {}")
 _WORD = r"[^a-z0-9]+"
 _END = r"(?<=[.!?:;])[ \t\r]*\n|\n[ \t\r]*\n"
 
@@ -110,6 +111,8 @@ def trained() -> tuple[tuple[str, ...], dict[str, tuple[float, ...]], tuple[floa
     c = corpus()
     classes = (*sorted(c["families"]), UNKNOWN)
     rows = labelled(c["frames"])
+    sentences = [(t, frozenset((k,))) for k, of in sorted(c["families"].items()) for t in of["sentences"]] + [(t, frozenset((UNKNOWN,))) for t in c["others"]["sentences"]]
+    rows += [(f.format(t), k, j) for j, (t, k) in enumerate(sentences) for f in MORE_AROUND]
     names = features(rows)
     x, y = _matrix(rows, names, classes)
     w, b = fit(x, y)
