@@ -419,6 +419,31 @@ def test_language_ties_numerals_and_labels(spark):
     assert lang_id.keep_identified(df).count() == 0
 
 
+def test_language_learns_from_every_text(spark):
+    r = random.Random(23)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7))) for _ in range(3000)]
+    rows = [(i, " ".join(vocab[min(r.randrange(3000), r.randrange(3000))] for _ in range(r.randint(1, 12))), ["en", "de", None][i % 3]) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fold = {i: zlib.crc32(str(i).encode()) % 4 for i, *_ in rows}
+    counts = {x: Counter(w for i, t, lang in rows if lang == x and fold[i] != 2 for w in set(t.split())) for x in ("de", "en")}
+    assert lang_id.learn_sample(df) == tuple((x, tuple(sorted(c))) for x, c in counts.items())
+    for x, got in lang_id.learn_sample(df, train_words=500):
+        least = min(counts[x][w] for w in got)
+        assert abs(len(got) - 500) < 60 and {w for w, n in counts[x].items() if n > least} < set(got)
+    sample = tuple((x, tuple(w for w, n in c.items() if n > 2)) for x, c in counts.items())
+    parser, needs = lang_id.CrossParser({k: list(v) for k, v in sample}), {}
+    for i, t, lang in rows:
+        if lang and fold[i] != 2:
+            won, _, need = parser.need(t)
+            for k in (won, None):
+                needs.setdefault(k, []).append(need)
+    limits = lang_id.learn_limits(df, dict.fromkeys((0, 1, 3), sample))
+    assert set(limits) == set(needs) and len(needs[None]) > 4000
+    for k, v in needs.items():
+        low = sorted(v)[-1 - len(v) // 1000]
+        assert low < limits[k] / (1 + lang_id.SLACK + 1 / math.sqrt(len(v))) <= low + 1.001 / lang_id.NEED_BINS
+
+
 def test_language_edges(docs, none):
     got = {r.doc_id: r for r in lang_id.predict_languages(docs).collect()}
     assert len(got) == len(TEXTS) and {got[i].lang_pred for i in (0, 1, 2)} == {"und"}

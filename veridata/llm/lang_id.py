@@ -1,20 +1,21 @@
 """Language of a text by cross-parsing entropy.
 
-For each label a suffix automaton holds the distinct words of a bounded sample of its texts. A text is parsed word by
-word against each automaton: the longest match from where the last one ended is a phrase, a sign that no match starts
-with is a phrase of its own. Phrases, times the log of the automaton's own length, over the text's signs estimate the
+For each label a suffix automaton holds the words that most of its texts hold. A text is parsed word by word against each
+automaton: the longest match from where the last one ended is a phrase, a sign that no match starts with is a phrase of its
+own. Phrases, times the log of the automaton's own length, over the text's signs estimate the
 cross entropy between the text and the label; the label that needs fewest so normalised phrases wins.
 
 Phrases end at word ends, so a word's phrase counts depend on the word alone and are kept in a bounded table. Words are
 runs of letters in lower case, with a mark at both ends.
 
-Sample: of the labelled rows of the learning folds, those whose hash of doc_id is low enough that TRAIN_DOCS are expected
-per label, and of those the TRAIN_WORDS words with the smallest hashes per label. The rest of the corpus takes no part.
+Learning: every labelled text of the learning folds is read, and it is counted in how many texts of each label a word
+stands. A label's automaton holds TRAIN_WORDS words, or all that there are: those in most texts, and of words in equally
+many, where not all have room, those with low hashes.
 
-``keep_identified`` rejects text of no learnt language by the winner's bits per sign. Its limits come from labelled texts
-of one learning fold that its sample then leaves out: a winner's limit is what its texts need, but for one in a thousand
-(labels can be wrong), and SLACK more. A text of w distinct words is measured by
-their bits / (1 + 1 / sqrt(w)): few words prove little, and a word repeated proves no more.
+``keep_identified`` rejects text of no learnt language by the winner's bits per sign. Its limits come from all the labelled
+texts of the learning folds, each fold measured by automata of the other ones: a winner's limit is what its texts need, but
+for one in a thousand (labels can be wrong), and SLACK more. Needs are counted in bins of 1 / NEED_BINS bits. A text of w
+distinct words is measured by their bits / (1 + 1 / sqrt(w)): few words prove little, and a word repeated proves no more.
 
 Null text, or text without letters: ``und``, score 0. No labels at all: ``und``. Ties go to the smaller label. Labels
 that are null are not learnt. Repeated rows are predicted one by one. An empty table gives no rows.
@@ -25,19 +26,19 @@ from __future__ import annotations
 import math
 import re
 from array import array
+from collections import Counter
 
 import numpy as np
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import kept, per_document
+from ._common import ensure_checkpoint_dir, kept, per_document
 
-TRAIN_DOCS = 300
 TRAIN_WORDS = 12_000
 FOLDS, HELD = 4, 2
-#: The learning fold that limits are taken from, how many of its texts a label are expected, and with how many a label has its own limit.
-LIMIT_FOLD, LIMIT_DOCS, LIMIT_LEAST = 1, 1000, 100
+#: With how many texts a winner has its own limit, and bins a bit.
+LIMIT_LEAST, NEED_BINS = 100, 1024
 SLACK = 0.1
 NONE = "und"
 _WORD, _LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
@@ -154,41 +155,63 @@ class CrossParser:
         return label, score, bits / (1 + 1 / math.sqrt(len(kinds)))
 
 
-def _few_of_each(docs: DataFrame, each: int) -> DataFrame | None:
-    """Of the labelled texts those with low hashes, ``each`` a label expected; None without labels."""
-    learn = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return None
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, each / n))])
-    # 52 bits of the hash: the share of a label's texts may be as small as a double can tell
-    return learn.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 12) < (share[F.col("lang")] * (1 << 52)))
+def _labelled(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def learn_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, folds: int = FOLDS, held: int = HELD, spare: int | None = None) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """The bounded sample of words per label; fold ``spare``, if any, is left out too. What reaches the driver: a row per label, then the sampled rows' words,
-    at most ``train_words`` distinct ones per label."""
-    fold = F.crc32(F.col("doc_id").cast("string")) % folds
-    few = _few_of_each(docs.where((fold != held) & (fold != (held if spare is None else spare))), train_docs)
-    if few is None:
-        return ()
-    words = few.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word")).distinct()
-    from pyspark.sql import Window
+def _low(share: dict[str, float], key: str) -> Column:
+    """Whether the hash of ``key`` is in the share of the row's label; 52 bits of it: a share may be as small as a double can tell."""
+    of = F.create_map(*[F.lit(x) for k, v in sorted(share.items()) for x in (k, v)])
+    return F.shiftrightunsigned(F.xxhash64(key), 12) < of[F.col("lang")] * (1 << 52)
+
+
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
 
-    top = words.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word"))).where(F.col("r") <= train_words)
+def count_words(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """(lang, word, n): in how many of a label's texts a word stands, n an array by fold."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    said = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
+    words = _labelled(docs).select("lang", _fold(folds).alias("fold"), F.explode(said).alias("word"))
+    return words.groupBy("lang", "word").agg(F.array(*[F.count_if(F.col("fold") == i) for i in range(folds)]).alias("n")).checkpoint()
+
+
+def choose_words(counted: DataFrame, of: list[int], train_words: int = TRAIN_WORDS) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """The words of each label's automaton by the counts of the folds ``of``. What reaches the driver: a row per label and count, then
+    about ``train_words`` words per label."""
+    counted = counted.select("lang", "word", sum((F.col("n")[i] for i in of), F.lit(0)).alias("n")).where("n > 0")
+    room, least, share = {}, {}, {}
+    for r in sorted(counted.groupBy("lang", "n").agg(F.count("*").alias("kinds")).collect(), key=lambda r: -r.n):
+        left = room.setdefault(r.lang, train_words)
+        if left > 0:
+            least[r.lang], share[r.lang] = r.n, min(1.0, left / r.kinds)
+            room[r.lang] = left - r.kinds
+    if not least:
+        return ()
+    last = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv])[F.col("lang")]
     out: dict[str, list[str]] = {}
-    for r in top.select("lang", "word").collect():
+    for r in counted.where((F.col("n") > last) | (F.col("n") == last) & _low(share, "word")).select("lang", "word").collect():
         out.setdefault(r.lang, []).append(r.word)
     return tuple((k, tuple(sorted(v))) for k, v in sorted(out.items()))
 
 
+def learn_sample(docs: DataFrame, train_docs: int | None = None, train_words: int = TRAIN_WORDS, folds: int = FOLDS, held: int = HELD) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """The words of each label by all texts of the learning folds; with ``train_docs``, by so many a label, as expected."""
+    learn = _labelled(docs).where(_fold(folds) != held)
+    if train_docs is not None:
+        share = {r.lang: min(1.0, train_docs / r.n) for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        learn = learn.where(_low(share, "doc_id")) if share else learn
+    return choose_words(count_words(learn, folds), [i for i in range(folds) if i != held], train_words)
+
+
 def _parser(sample: tuple) -> CrossParser:
     """One a worker process and sample, so its table serves all tasks of the process."""
     return kept(("languages", sample), lambda: CrossParser({k: list(v) for k, v in sample}))
 
 
 def predict_languages(docs: DataFrame, sample: tuple | None = None, folds: int = FOLDS, held: int = HELD) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, bits; a narrow scan after the sample is taken."""
+    """doc_id, held_out, lang_pred, score, bits; a narrow scan after the words are learnt."""
     model = learn_sample(docs, folds=folds, held=held) if sample is None else sample
 
     def row():
@@ -199,28 +222,39 @@ def predict_languages(docs: DataFrame, sample: tuple | None = None, folds: int =
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
 
 
-def learn_limits(docs: DataFrame, sample: tuple, folds: int = FOLDS, fold: int = LIMIT_FOLD) -> dict[str | None, float]:
+def learn_limits(docs: DataFrame, samples: dict[int, tuple], folds: int = FOLDS) -> dict[str | None, float]:
     """The largest need that still counts as a learnt language, by winner; under None, that of winners with few texts.
-    What reaches the driver: a label and a number of the bounded sample's texts."""
-    few = _few_of_each(docs.where(F.crc32(F.col("doc_id").cast("string")) % folds == fold), LIMIT_DOCS)
-    if few is None or not sample:
-        return {}
-
-    def row():
-        return _parser(sample).need
-
-    by: dict[str | None, list[float]] = {None: []}
-    for r in per_document(few, row, "won string, score double, need double").where(F.col("won") != NONE).select("won", "need").collect():
-        by.setdefault(r.won, []).append(r.need)
-        by[None].append(r.need)
-    return {k: sorted(v)[-1 - len(v) // 1000] * (1 + SLACK + 1 / math.sqrt(len(v))) for k, v in by.items() if v and (k is None or len(v) >= LIMIT_LEAST)}
-
-
-def keep_identified(docs: DataFrame, min_score: float = 0.0, sample: tuple | None = None) -> DataFrame:
+    ``samples``: by fold the words that its texts are measured by, every one whose label has words there. What reaches the driver: how many
+    texts a winner has in each bin."""
+    by: dict[str | None, Counter] = {}
+    for fold, sample in samples.items():  # one after the other: a worker keeps the automata of one sample
+
+        def row(sample=sample):
+            return _parser(sample).need
+
+        known = _labelled(docs).where((_fold(folds) == fold) & F.col("lang").isin([k for k, _ in sample]))
+        needs = per_document(known, row, "won string, score double, need double").where(F.col("won") != NONE)
+        for r in needs.groupBy("won", F.floor(F.col("need") * NEED_BINS).alias("bin")).agg(F.count("*").alias("n")).collect():
+            for k in (r.won, None):
+                by.setdefault(k, Counter())[r.bin] += r.n
+    out = {}
+    for k, bins in by.items():
+        n = bins.total()
+        if k is None or n >= LIMIT_LEAST:
+            beyond, order = n // 1000, iter(sorted(bins, reverse=True))
+            while beyond >= 0:
+                top = next(order)
+                beyond -= bins[top]
+            out[k] = (top + 1) / NEED_BINS * (1 + SLACK + 1 / math.sqrt(n))
+    return out
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.0, folds: int = FOLDS, held: int = HELD) -> DataFrame:
     """The documents whose language is identified: not ``und``, of a learnt language by the limits of ``learn_limits``, and
-    not under ``min_score``. A narrow map after the sample and the limits are taken."""
-    model = learn_sample(docs, spare=LIMIT_FOLD) if sample is None else sample
-    limits = learn_limits(docs, model)
+    not under ``min_score``. A narrow map after the words and the limits are learnt."""
+    counted, learn = count_words(docs.where(_fold(folds) != held), folds), [i for i in range(folds) if i != held]
+    model = choose_words(counted, learn)
+    limits = learn_limits(docs, {i: choose_words(counted, [j for j in learn if j != i]) for i in learn}, folds)
     other = limits.get(None, math.inf)
 
     def run(batches):
