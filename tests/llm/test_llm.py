@@ -524,6 +524,31 @@ def test_licenses_of_unseen_ways(spark):
     assert all(np.mean(v) > 0.9 for v in hit.values()), {k: np.mean(v) for k, v in hit.items()}
 
 
+def test_few_edges_need_few_stages(spark):
+    from veridata.llm._graph import connected_components
+
+    r = random.Random(31)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000 - i, 2000 + i) for i in range(40)] + [(r.randrange(5000, 6000), r.randrange(5000, 6000)) for _ in range(450)] + [(-7, 3), (8, 8)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    root = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in root:
+        was = dict(root)
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+        if was == root:
+            break
+    tracker = spark.sparkContext.statusTracker()
+    for most in (0, 100, 250_000):
+        spark.sparkContext.setJobGroup(f"components-{most}", "")
+        got = {(x.node, x.component) for x in connected_components(edges, driver_edges=most).collect()}
+        assert got == set(root.items())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [len(tracker.getJobIdsForGroup(f"components-{most}")) for most in (0, 250_000)]
+    assert jobs[1] <= 8 < jobs[0]
+    assert connected_components(edges.where("a = b")).count() == 0
+
+
 def test_decontaminate(spark):
     item, other = prose(30), prose(25)
     bench = spark.createDataFrame([(1, item), (2, other), (3, "rareword"), (4, None), (5, "")], "item_id long, text string")
