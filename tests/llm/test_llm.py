@@ -99,6 +99,23 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert not alone.has_passage and substring_dedup.repeated_passages(twice.where("doc_id = 9")).count() == 0
 
 
+def test_scans_hand_results_on_by_slices(spark, docs, monkeypatch):
+    import pyarrow as pa
+
+    made, map_in_arrow = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a: made.append(f) or map_in_arrow(self, f, *a))
+    texts = [*TEXTS, *[f"{prose(300)} a.b@c-d.org" for _ in range(2000)], "y" * 3_000_000, *[None] * 3]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    plain = docs.select("doc_id", "text")
+    for scan in (lambda: pii.pii_report(plain), lambda: pii.redact_documents(plain), lambda: lang_id.keep_identified(docs.select("doc_id", "text", "lang"))):
+        scan()
+        out = list(made[-1](iter([batch, batch.slice(0, 0)])))
+        size = lambda b: sum(len(texts[i] or "") for i in b.column(0).to_pylist())
+        assert len(out) > 4 and all(size(b) <= 1 << 20 or b.num_rows == 1 for b in out)
+        whole = [i for b in out for i in b.column(0).to_pylist()]
+        assert whole == sorted(set(whole)) and (whole == list(range(len(texts))) or len(made) > 2)
+
+
 def test_empty_pipeline_stages(spark, docs, none):
     import corpus_pipeline
 

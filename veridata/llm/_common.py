@@ -7,7 +7,9 @@ import gc
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,32 @@ def id_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
+#: Bytes of text whose results a scan holds before it hands them on.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of at most SLICE_BYTES in column ``text``, or of one row; an empty batch stays.
+
+    A batch has a number of rows, whatever their size: what a worker makes of a whole one may be many times its text.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at, n = 0, batch.num_rows
+        while at < n or not n:
+            full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right"))
+            to = min(n, max(at + 1, full))
+            yield batch.slice(at, to - at)
+            at = to
+            if not n:
+                break
+        del batch  # before the next one is read
+        trim()
+
+
 def per_document(docs: DataFrame, row: Callable[[], Callable[[str], tuple]], schema: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Narrow scan of whole texts: ``row()`` is called once a task and gives the function from a text to its output values.
+    Results leave by slices of the text, so that a worker holds those of one slice at a time.
 
     Null text counts as empty. No shuffle; a lost task is recomputed from its input split alone.
     """
@@ -35,7 +61,7 @@ def per_document(docs: DataFrame, row: Callable[[], Callable[[str], tuple]], sch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = row()
-        for batch in batches:
+        for batch in slices(batches, 1):
             out = [one(x.as_py() or "") for x in batch.column(1)]
             cols = [batch.column(0)] + [pa.array([r[i] for r in out], t.type) for i, t in enumerate(list(arrow)[1:])]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)

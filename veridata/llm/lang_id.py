@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ensure_checkpoint_dir, kept, per_document
+from ._common import ensure_checkpoint_dir, kept, per_document, slices
 
 TRAIN_WORDS = 12_000
 FOLDS, HELD = 4, 2
@@ -256,13 +256,14 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0, folds: int = FOLDS,
     model = choose_words(counted, learn)
     limits = learn_limits(docs, {i: choose_words(counted, [j for j in learn if j != i]) for i in learn}, folds)
     other = limits.get(None, math.inf)
+    text = docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa
 
         parser = _parser(model)
-        for b in batches:
-            said = (parser.need(t.as_py()) for t in b.column(b.schema.get_field_index("text")))
+        for b in slices(batches, text):
+            said = (parser.need(t.as_py()) for t in b.column(text))
             yield b.filter(pa.array([p[0] != NONE and p[1] >= min_score and p[2] <= limits.get(p[0], other) for p in said], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import per_document
+from ._common import per_document, slices
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 MIN_SCORE = 0.5
@@ -179,11 +179,12 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced and n_chars brought up to date. A narrow map: null texts stay null, repeated
     rows stay as often as they are, and all other columns stay as they are; an empty table stays empty."""
 
+    i = docs.columns.index("text")
+
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
-            i = b.schema.get_field_index("text")
+        for b in slices(batches, i):
             new = [None if t is None else redact(t, s) if (s := find_spans(t)) else t for t in b.column(i).to_pylist()]
             yield b.set_column(i, b.schema.field(i), pa.array(new, b.schema.field(i).type))
 
