@@ -5,8 +5,10 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -193,6 +195,37 @@ def test_ngram_join(docs, none, chunk, rows, hot):
     assert ngram_join.ngram_components(none).count() == 0
 
 
+def test_ngram_join_clears_its_disk(spark, docs):
+    """Shuffle files and checkpointed n-grams go as soon as the next checkpoint stands, without the driver's collector."""
+    from veridata.llm._common import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    sc = spark.sparkContext
+    blocks = sc._jsc.sc().env().blockManager().diskBlockManager()
+    saved = Path(sc._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    def checkpointed():
+        return {str(f): f.stat().st_size for f in saved.rglob("part-*")}
+
+    old_files, old_parts = set(shuffled()), set(checkpointed())
+    got = ngram_join.ngram_components(docs)
+    for _ in range(50):  # executors remove files a moment after they are told
+        left = sum(size for name, size in shuffled().items() if name not in old_files)
+        if left < 4_000:
+            break
+        time.sleep(0.2)
+    assert left < 4_000  # of totals of a row each
+    assert sum(size for name, size in checkpointed().items() if name not in old_parts) < 8_000  # ids and classes, no n-grams
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    want = brute_components(TEXTS)
+    for _ in range(2):
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("chunk", [4_000_000, 300])
 def test_ngram_links(docs, none, chunk):
     sets = {}

@@ -131,6 +131,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(named)
 
 
+#: Spark removes the shuffle files of a statement as it ends, instead of when the driver's collector finds its plan unused.
+_FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows, checkpointed, without the shuffle files that led to them: nothing reads these again, and how long the
+    collector would leave them lying depends on how much else the driver does."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(_FILES_GO, "false")
+    spark.conf.set(_FILES_GO, "true")
+    try:
+        return df.select("*").checkpoint()  # a plan takes the setting as it is made
+    finally:
+        spark.conf.set(_FILES_GO, before)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Remove the files of a ``settled`` frame that nothing reads any more."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        drop_folder(df.sparkSession, file.get())
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the session's checkpoint folder for a written table."""
     import uuid

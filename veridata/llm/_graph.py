@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ensure_checkpoint_dir
+from ._common import settled
 
 #: Edges (16 bytes each) that the driver may hold.
 DRIVER_EDGES = 250_000
@@ -37,8 +37,7 @@ def connected_components(edges: DataFrame, rounds: int = 60, driver_edges: int =
     input gives no rows.
     """
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    state = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    state = settled(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     for _ in range(rounds):
         n, h = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -56,7 +55,7 @@ def connected_components(edges: DataFrame, rounds: int = 60, driver_edges: int =
         # a node and its smaller neighbours go to the smallest of those
         low = wide.groupBy("a").agg(F.min("b").alias("m"))
         near = wide.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        state = near.where("a <> b").distinct().checkpoint()
+        state = settled(near.where("a <> b").distinct())
     else:
         raise RuntimeError(f"components not settled after {rounds} rounds")
     return state.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(state.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._blocks import BLOCK_BYTES, blocked, distinct, mix, through_fragments, word_keys
-from ._common import ensure_checkpoint_dir
+from ._common import drop_checkpoint, settled
 from ._graph import connected_components
 
 N, PERCENT = 5, 80
@@ -233,16 +233,15 @@ def _links_in_large(large: DataFrame, percent: int, chunk_grams: int, chunk_rows
     edges = None
     for turn in range(2):
         dealt = large.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(turn)), "chunks")).withColumn("known", F.lit(None).cast("long"))
-        found = _searched(dealt, ["cluster", "chunk"], percent).select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
+        found = settled(_searched(dealt, ["cluster", "chunk"], percent).select(F.col("doc_id").alias("a"), F.col("component").alias("b")).where("a <> b"))
         edges = found if edges is None else edges.unionAll(found)
-    edges = edges.where("a <> b").checkpoint()
-    so_far = connected_components(edges)
-    known = large.join(so_far, large["doc_id"] == so_far["node"], "left").select(large["*"], F.coalesce("component", "doc_id").alias("known"))
-    count = known.groupBy("cluster", "known").agg(F.count("*").alias("n"))
-    main = count.groupBy("cluster").agg(F.max_by("known", F.struct("n", "known")).alias("main"))
-    known = known.join(main, "cluster").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(0)), "chunks")).checkpoint()
-    apart = known.where("known <> main")
-    size = apart.groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows).alias("parts"))
+    so_far = connected_components(edges).withColumnRenamed("node", "doc_id")
+    known = large.select("cluster", "doc_id").join(so_far, "doc_id", "left").select("cluster", "doc_id", F.coalesce("component", "doc_id").alias("known"))
+    main = known.groupBy("cluster", "known").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("known", F.struct("n", "known")).alias("main"))
+    told = settled(known.join(main, "cluster").select("doc_id", "known", "main").distinct())  # the n-grams are shuffled once, by the join with this
+    known = settled(large.join(told, "doc_id").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(0)), "chunks")))
+    apart = known.where("known <> main").withColumn("held", F.octet_length("shared"))
+    size = apart.groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows, "held").alias("parts"))
     apart = apart.join(size, "cluster").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), "parts"))
     # linked classes stand in a common list, so a class is sent where a class of one of its lists is
     of_part = apart.select("cluster", "part", "doc_id", F.explode("prefix").alias("gram"))
@@ -254,26 +253,27 @@ def _links_in_large(large: DataFrame, percent: int, chunk_grams: int, chunk_rows
     return edges.unionAll(more)
 
 
-def _chunks(chunk_grams: int, chunk_rows: int):
-    """Into how many chunks a cluster's rows go."""
-    return F.greatest(F.ceil(F.sum(F.octet_length("shared")) / 8 / chunk_grams), F.ceil(F.count("*") / chunk_rows), F.lit(1).cast("long"))
+def _chunks(chunk_grams: int, chunk_rows: int, held: str):
+    """Into how many chunks a cluster's rows go; ``held``: the column of the bytes of each row's n-grams."""
+    return F.greatest(F.ceil(F.sum(held) / 8 / chunk_grams), F.ceil(F.count("*") / chunk_rows), F.lit(1).cast("long"))
 
 
 def _clustered(docs: DataFrame, n: int, percent: int, chunk_grams: int, block_bytes: int, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, n_shingles, digest) of all documents; (digest, class_id, n) of the classes that may link; and of those
     that meet others (cluster, doc_id, n_shingles, shared, prefix, chunks)."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    every = _gather(docs, n, percent, block_bytes).checkpoint()
-    ids = every.select("doc_id", "n_shingles", "digest").checkpoint()  # what is read again below, without the n-grams
-    maybe = every.where("digest is not null")
-    classes = ids.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).checkpoint()
+    every = settled(_gather(docs, n, percent, block_bytes))
+    ids = settled(every.select("doc_id", "n_shingles", "digest"))  # what is read again below, without the n-grams
+    classes = settled(ids.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")))
+    # the n-grams are most of the bytes: they are shuffled once here, and what needs only their volume reads "held"
+    maybe = every.where("digest is not null").withColumn("held", F.octet_length("shared"))
     heads = maybe.join(classes.select(F.col("class_id").alias("doc_id"), F.col("digest").alias("d")), "doc_id").where("digest = d").dropDuplicates(["doc_id", "digest"]).drop("d", "digest")
     listed = heads.select("doc_id", F.explode("prefix").alias("gram"))
     least = listed.groupBy("gram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
-    near = connected_components(listed.join(least, "gram").select(F.col("doc_id").alias("a"), "b"))
-    placed = heads.join(near.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("component", "cluster")
-    volume = placed.groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows).alias("chunks"))
-    return ids, classes, placed.join(volume, "cluster").checkpoint()
+    near = connected_components(listed.join(least, "gram").select(F.col("doc_id").alias("a"), "b")).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    volume = heads.select("doc_id", "held").join(near, "doc_id").groupBy("cluster").agg(_chunks(chunk_grams, chunk_rows, "held").alias("chunks"))
+    placed = settled(heads.drop("held").join(settled(near.join(volume, "cluster")), "doc_id"))
+    drop_checkpoint(every)
+    return ids, classes, placed
 
 
 def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_grams: int = CHUNK_GRAMS, block_bytes: int = BLOCK_BYTES, chunk_rows: int = CHUNK_ROWS, hot_classes: int = HOT_CLASSES) -> DataFrame:
@@ -285,7 +285,8 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT, chunk_
         small = small.unionAll(connected_components(_links_in_large(large, percent, chunk_grams, chunk_rows)))
     # of rows that share a doc_id but not a set, a node has several
     small = small.groupBy("node").agg(F.min("component").alias("component"))
-    told = classes.join(small, classes["class_id"] == small["node"], "left").select("digest", "n", "class_id", F.coalesce("component", "class_id").alias("component_id")).checkpoint()
+    told = settled(classes.join(small, classes["class_id"] == small["node"], "left").select("digest", "n", "class_id", F.coalesce("component", "class_id").alias("component_id")))
+    drop_checkpoint(placed)
     return _told(ids, told, hot_classes)
 
 
